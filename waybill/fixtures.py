@@ -7,7 +7,6 @@ operator has work to do at any scale. One scan, no shuffle.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -102,18 +101,19 @@ def write_snapshots(positions: DataFrame, path: str) -> None:
 
     Every Arrow batch writes its own part of each snapshot into a folder of its own, so no
     snapshot is gathered in one task, and a task that runs again replaces its files.
-    ``path`` must be reachable as a mounted folder from the executors.
     """
-    root = path.removeprefix("file:")
+    root = path if "://" in path else "file://" + path.removeprefix("file:")
 
     def encode(batches: Iterator) -> Iterator:
         import pandas as pd
+        from pyarrow.fs import FileSystem
         from pyspark import TaskContext
 
         message = feed_message()
+        files, folder = FileSystem.from_uri(root)
         for number, batch in enumerate(batches):
-            part = os.path.join(root, f"part-{TaskContext.get().partitionId()}-{number}")
-            os.makedirs(part, exist_ok=True)
+            part = f"{folder}/part-{TaskContext.get().partitionId()}-{number}"
+            files.create_dir(part, recursive=True)
             for source_file, rows in batch.groupby("source_file"):
                 feed = message()
                 feed.header.gtfs_realtime_version = "2.0"
@@ -135,7 +135,7 @@ def write_snapshots(positions: DataFrame, path: str) -> None:
                     if pd.notna(row.epoch_seconds):
                         position.timestamp = int(row.epoch_seconds)
                     position.current_status = int(row.status)
-                with open(os.path.join(part, source_file), "wb") as out:
+                with files.open_output_stream(f"{part}/{source_file}") as out:
                     out.write(feed.SerializeToString())
             yield pd.DataFrame({"files": [batch["source_file"].nunique()]})
 

@@ -4,49 +4,68 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-BINS = 1_000_000
+from waybill.session import cut_lineage
+
+BINS = 1024  # bins per level; two levels are about a million bins over the value range
+MAX_BROADCAST_TARGETS = 1_000_000
 
 
 def exact_median(
     df: DataFrame, keys: list[str], value: str, low: float, high: float,
     alias: str = "median", bins: int = BINS,
 ) -> DataFrame:
-    """Exact median of the non-null ``value`` per ``keys``.
+    """Exact median of the non-null ``value`` per ``keys``; groups without a value have no row.
 
     The built-in aggregate keeps every distinct value of a group in one buffer. Here the
-    values are first counted per equal-width bin of ``[low, high]`` (values outside fall
-    into the edge bins; the bounds affect balance, not the result). The bins that hold the
-    middle ranks are known from the counts, and only their rows are ranked. Equal values
-    are counted before they are ranked.
+    two middle ranks are closed in on: values are counted per coarse bin of ``[low, high]``,
+    then per fine bin inside the coarse bins that hold the middle, and only the values of
+    the fine bins found there are ranked, equal values counted first. Counting combines
+    before the shuffle, a window sees at most ``bins`` rows of a group, and after the first
+    count nothing but the few bins of interest moves. Values outside the range fall into
+    the edge bins; the bounds affect balance, not the result.
     """
-    position = F.floor((F.col("_value") - low) / F.lit((high - low) / bins))
-    binned = (
+    fine_bins = bins * bins
+    position = F.floor((F.col("_value") - low) / F.lit((high - low) / fine_bins))
+    rows = (
         df.filter(F.col(value).isNotNull())
         .select(*keys, F.col(value).alias("_value"))
-        .withColumn("_bin", F.least(F.greatest(position, F.lit(0)), F.lit(bins - 1)).cast("int"))
+        .withColumn("_fine", F.least(F.greatest(position, F.lit(0)), F.lit(fine_bins - 1)))
+        .withColumn("_coarse", F.expr(f"_fine div {bins}"))
     )
-    counts = binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_rows"))
-    # at most ``bins`` rows per group in these windows
     group = Window.partitionBy(*keys)
-    upto = F.sum("_rows").over(group.orderBy("_bin"))
+    counts = rows.groupBy(*keys, "_coarse").agg(F.count(F.lit(1)).alias("_rows"))
     total = F.sum("_rows").over(group)
-    middle = (
-        counts.withColumns({"_before": upto - F.col("_rows"), "_upto": upto, "_total": total})
-        .withColumn("_lower", F.expr("(_total - 1) div 2"))
-        .withColumn("_upper", F.expr("_total div 2"))
-        .filter((F.col("_upto") > F.col("_lower")) & (F.col("_before") <= F.col("_upper")))
-        .select(*keys, "_bin", "_before", "_lower", "_upper")
-    )
-    copies = (
-        binned.join(middle, [*keys, "_bin"])
-        .groupBy(*keys, "_bin", "_before", "_lower", "_upper", "_value")
-        .agg(F.count(F.lit(1)).alias("_copies"))
+    counts = counts.withColumns({"_total": total, "_before": F.lit(0)}).select(
+        *keys, "_coarse", "_rows", "_before",
+        F.expr("(_total - 1) div 2").alias("_lower"), F.expr("_total div 2").alias("_upper"),
     )
-    ranked = copies.withColumn(
-        "_to", F.col("_before") + F.sum("_copies").over(Window.partitionBy(*keys, "_bin").orderBy("_value"))
-    ).withColumn("_from", F.col("_to") - F.col("_copies"))
+    targets = _around_the_middle(counts, keys, [], "_coarse")
+    for outer, inner in (("_coarse", "_fine"), ("_fine", "_value")):
+        inside = rows.join(_checked(targets), [*keys, outer])
+        counts = inside.groupBy(*keys, outer, "_before", "_lower", "_upper", inner).agg(
+            F.count(F.lit(1)).alias("_rows")
+        )
+        targets = _around_the_middle(counts, keys, [outer], inner)
 
     def at(rank: str):
-        return F.max(F.when((F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_to")), F.col("_value")))
+        here = (F.col("_before") <= F.col(rank)) & (F.col(rank) < F.col("_upto"))
+        return F.max(F.when(here, F.col("_value")))
+
+    return targets.groupBy(*keys).agg(((at("_lower") + at("_upper")) / 2).alias(alias))
+
+
+def _around_the_middle(counts: DataFrame, keys: list[str], outer: list[str], inner: str) -> DataFrame:
+    """The ``inner`` entries that hold a middle rank, with the ranks before and after each."""
+    upto = F.col("_before") + F.sum("_rows").over(Window.partitionBy(*keys, *outer).orderBy(inner))
+    return (
+        counts.withColumn("_upto", upto)
+        .withColumn("_before", F.col("_upto") - F.col("_rows"))
+        .filter((F.col("_upto") > F.col("_lower")) & (F.col("_before") <= F.col("_upper")))
+        .select(*keys, inner, "_before", "_upto", "_lower", "_upper")
+    )
+
 
-    return ranked.groupBy(*keys).agg(((at("_lower") + at("_upper")) / 2).alias(alias))
+def _checked(targets: DataFrame) -> DataFrame:
+    """At most two bins per group; broadcast once counted and found small."""
+    targets = cut_lineage(targets.drop("_upto"))
+    return F.broadcast(targets) if targets.count() <= MAX_BROADCAST_TARGETS else targets

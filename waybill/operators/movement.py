@@ -19,7 +19,7 @@ def vehicle_movement(
     positions: DataFrame,
     max_gap_minutes: float = 5,
     max_speed_kmh: float = 120,
-    tie: str | list[str] = "kafka_offset",
+    tie: str | list[str] | None = None,
     slice_minutes: float | None = None,
     hot_rows: int = HOT_SLICE_ROWS,
     count_slices: bool | None = None,
@@ -29,8 +29,11 @@ def vehicle_movement(
     Rows without a route are gone before the look back, which crosses routes. Rows more
     than ``max_gap_minutes`` after the previous one are left out. Where no time has passed
     both the elapsed time and the speed are null; a speed above ``max_speed_kmh`` is
-    flagged and blanked, the row stays. ``tie`` orders observations of equal time.
+    flagged and blanked, the row stays. ``tie`` orders observations of equal time; by
+    default the topic offset or else the snapshot name, whichever the table has.
     """
+    if tie is None:
+        tie = [name for name in ("kafka_offset", "source_file") if name in positions.columns][:1]
     ties = [tie] if isinstance(tie, str) else list(tie)
     # the remaining columns make the order total, so that reruns agree on it
     ties = list(dict.fromkeys([*ties, "route_id", "trip_id", "latitude", "longitude"]))
