@@ -17,7 +17,7 @@ from waybill.functions.text import base_name, status_label
 from waybill.functions.times import filename_timestamp
 from waybill.operators import events as ev, merge, movement as mv, quality, silver as sv
 from waybill.plans import gold, monitoring, refresh as rf, serving
-from waybill.session import scratch_path, use_utc
+from waybill.session import hand_over, scratch_path, use_utc
 from waybill.sources import sinks, snapshots, streams, tables
 from waybill.streaming import jobs
 
@@ -38,11 +38,11 @@ def _silver(spark, d):
 
 
 def _movement(spark, d):
-    return mv.vehicle_movement(_silver(spark, d))
+    return mv.vehicle_movement(hand_over(_silver(spark, d)))
 
 
-def _performance(spark, d):
-    return gold.route_performance(_movement(spark, d))
+def _performance(spark, d, **options):
+    return gold.route_performance(hand_over(_movement(spark, d)), **options)
 
 
 def _decoded(spark, d):
@@ -349,7 +349,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             mv.movement_profile(_movement(s, d)), "total_distance_km", "average_speed_kmh"),
         "route_performance": lambda s, d: _rounded(_performance(s, d), *SPEEDS),
         "route_performance_by_rank": lambda s, d: _rounded(
-            gold.route_performance(_movement(s, d), median_by_rank=True), *SPEEDS),
+            _performance(s, d, median_by_rank=True), *SPEEDS),
         "slowest_routes": lambda s, d: _rounded(gold.slowest_routes(_performance(s, d)), *SPEEDS),
         "fastest_routes": lambda s, d: _rounded(gold.fastest_routes(_performance(s, d)), *SPEEDS),
         # activity

@@ -50,15 +50,19 @@ def vehicle_movement(
         count_slices=count_slices,
     )
     minutes = elapsed_minutes(F.col("vehicle_timestamp"), F.col("previous.vehicle_timestamp"))
+    distance = haversine_km(
+        F.col("previous.latitude"), F.col("previous.longitude"), F.col("latitude"), F.col("longitude")
+    )
+    speed = speed_kmh(F.col("distance_km"), F.col("time_difference_minutes"))
+    too_fast = F.coalesce(F.col("speed_kmh") > max_speed_kmh, F.lit(False))
     return (
-        steps.withColumn("distance_km", haversine_km(
-            F.col("previous.latitude"), F.col("previous.longitude"),
-            F.col("latitude"), F.col("longitude"),
-        ))
-        .withColumn("time_difference_minutes", F.when(minutes > 0, minutes))
-        .withColumn("speed_kmh", speed_kmh(F.col("distance_km"), F.col("time_difference_minutes")))
-        .withColumn("is_speed_anomaly", F.coalesce(F.col("speed_kmh") > max_speed_kmh, F.lit(False)))
-        .withColumn("speed_kmh", F.when(~F.col("is_speed_anomaly"), F.col("speed_kmh")))
+        steps.withColumns({
+            "distance_km": distance, "time_difference_minutes": F.when(minutes > 0, minutes),
+        })
+        .withColumn("speed_kmh", speed)
+        .withColumns({
+            "is_speed_anomaly": too_fast, "speed_kmh": F.when(~too_fast, F.col("speed_kmh")),
+        })
         .select(*MOVEMENT_COLUMNS)
     )
 

@@ -40,8 +40,9 @@ def with_previous(
     ``(time, *tie)``; rows whose predecessor lies more than ``reach_minutes`` back, and
     first rows, are left out. ``key`` and ``time`` must not be null.
 
-    ``count_slices`` forces or forbids the search for oversized slices; by default it runs
-    for inputs that are not small by the optimizer's estimate.
+    ``count_slices`` forces or forbids the search for oversized slices, which reads ``df``
+    once more for its key and time; by default it runs for inputs that are not small by
+    Spark's estimate.
     """
     reach = round(reach_minutes * 60_000_000)
     width = round((slice_minutes or 6 * reach_minutes) * 60_000_000)

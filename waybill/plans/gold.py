@@ -12,6 +12,9 @@ from waybill.operators.median import exact_median
 from waybill.session import is_small
 
 
+MEDIAN_BUFFER_BYTES = 32 * 1024 * 1024
+
+
 def _order_of(df: DataFrame, tie: list[str]) -> list[str]:
     """Event time, then the tie breakers the table has, then the rest for a total order."""
     first = ["vehicle_timestamp", *(name for name in tie if name in df.columns)]
@@ -63,7 +66,7 @@ def route_performance(
     comes from ``exact_median``; the results are the same.
     """
     if median_by_rank is None:
-        median_by_rank = not is_small(movement)
+        median_by_rank = not is_small(movement, MEDIAN_BUFFER_BYTES)
     routed = movement.filter(F.col("route_id").isNotNull())
     statistics = [
         F.count("speed_kmh").alias("movement_records"),

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Plans whose optimizer estimate stays below this are small enough for one task
+# Plans whose estimated size stays below this are small enough for one task
 # per group; above it the operators count their groups before choosing a plan.
 SMALL_PLAN_BYTES = 256 * 1024 * 1024
 
@@ -43,8 +43,8 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df``; runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Spark's size estimate of ``df`` from its inputs; runs no job and no optimization."""
+    return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
 
 
 def is_small(df: DataFrame, limit: int = SMALL_PLAN_BYTES) -> bool:
@@ -78,3 +78,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors and pins the row placement."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def hand_over(df: DataFrame) -> DataFrame:
+    """For a result that is read more than once: large ones go through a table in the shared
+    folder, small ones are left to be computed again."""
+    if is_small(df):
+        return df
+    path = scratch_path(df.sparkSession, "handover")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
