@@ -230,7 +230,7 @@ LATEST_COLUMNS = (
 STATE_COLUMNS = "vehicle_id, route_id, trip_id, latitude, longitude, vehicle_timestamp"
 PER_MINUTE = """
 SELECT date_trunc('minute', vehicle_timestamp)::TIMESTAMP AS window_start,
-  date_trunc('minute', vehicle_timestamp)::TIMESTAMP + INTERVAL 1 MINUTE AS window_end, count(*) AS event_count
+  date_trunc('minute', vehicle_timestamp)::TIMESTAMP + INTERVAL 1 MINUTE AS window_end, count(*) AS vehicle_events
 FROM vp WHERE vehicle_id IS NOT NULL AND vehicle_timestamp IS NOT NULL GROUP BY 1, 2"""
 
 
@@ -487,6 +487,6 @@ FROM summary"""),
 SELECT kafka_partition, kafka_offset, validation_error FROM coded WHERE validation_error IS NOT NULL"""),
         "bronze_stream": _with([VP], """
 SELECT event_version, vehicle_id, latitude, kafka_partition, kafka_offset, true AS has_arrival FROM vp"""),
-        "history_stream": _with(events, "SELECT * FROM valid"),
+        "history_stream": _with(events, f"SELECT {LATEST_COLUMNS} FROM valid"),
         "latest_stream": _with(latest, f"SELECT {LATEST_COLUMNS} FROM latest"),
     }

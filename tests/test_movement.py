@@ -132,3 +132,22 @@ def test_plan_has_one_shuffle_and_prunes_columns(spark, at, tmp_path):
     plan = vehicle_movement(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "unused" not in plan
+
+
+def test_hand_over_stores_large_results_only(spark, monkeypatch):
+    from waybill import session
+
+    df = spark.range(10).withColumn("x", F.col("id") * 2)
+    assert session.hand_over(df) is df
+    monkeypatch.setattr(session, "is_small", lambda df: False)
+    stored = session.hand_over(df)
+    assert stored.inputFiles() and stored.schema == df.schema
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_scratch_stays_below_the_configured_folder(spark):
+    from waybill.session import scratch_path, shared_dir
+
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    one, two = scratch_path(spark, "a"), scratch_path(spark, "a")
+    assert one != two and one.startswith(shared_dir(spark))

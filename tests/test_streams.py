@@ -120,6 +120,7 @@ def test_latest_stream_equals_batch_and_survives_replay(spark, topic, tmp_path):
     topic.send(event("a", 50), event("b", 10), event("a", 30))
     topic.send(event("a", 20), event("b", 10, latitude=2.0), event("bad", 1, latitude=99))
     topic.send(event("a", 55))
+    topic.send("{bad")  # nothing valid: no new version
     out = str(tmp_path / "latest")
     finish(jobs.latest_stream(topic.stream(), out, str(tmp_path / "ck"), ONCE))
     columns = [c for c in LATEST_POSITIONS.fieldNames() if c != "updated_at"]
@@ -139,7 +140,8 @@ def test_history_stream_replaces_a_replayed_batch(spark, topic, tmp_path):
         write(batch, batch_id)
 
     finish(jobs.history_stream(topic.stream(), twice, str(tmp_path / "ck"), ONCE))
-    assert spark.read.parquet(out).count() == 3
+    stored = spark.read.parquet(out)
+    assert stored.count() == 3 and "event_version" not in stored.columns
 
 
 def test_events_per_minute_drops_rows_beyond_the_watermark(spark, topic, tmp_path):
@@ -152,10 +154,10 @@ def test_events_per_minute_drops_rows_beyond_the_watermark(spark, topic, tmp_pat
     finish(jobs.keyed_stream(jobs.events_per_minute(parsed), out, str(tmp_path / "ck"), ONCE))
     last = {}
     for r in sorted(spark.read.parquet(out).collect(), key=lambda r: r.batch_id):
-        last[r.window_start.minute] = r.event_count
+        last[r.window_start.minute] = r.vehicle_events
     assert last == {0: 2, 1: 1, 10: 3}
     twin = jobs.events_per_minute(ev.parse_events(ev.kafka_decode(topic.table())))
-    assert {r.window_start.minute: r.event_count for r in twin.collect()} == {0: 3, 1: 1, 10: 3}
+    assert {r.window_start.minute: r.vehicle_events for r in twin.collect()} == {0: 3, 1: 1, 10: 3}
 
 
 def test_publish_checks_the_contract(spark, tmp_path):

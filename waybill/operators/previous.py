@@ -21,6 +21,7 @@ from waybill.session import cut_lineage, is_small
 
 HOT_SLICE_ROWS = 2_000_000
 MAX_BROADCAST_SLICES = 500_000
+MAX_PARTS = 10_000
 
 
 def with_previous(
@@ -63,7 +64,8 @@ def with_previous(
         slices = F.broadcast(slices) if hot_slices <= MAX_BROADCAST_SLICES else slices
         cool = placed.join(slices, unit, "left_anti")
         busy = placed.join(slices, unit, "left_semi")
-        parts = math.ceil(total / hot_rows) + 1
+        # beyond MAX_PARTS the ranges just grow; the rows stay evenly spread over them
+        parts = min(math.ceil(total / hot_rows) + 1, MAX_PARTS)
         followed = _follow(cool, unit, order, values).unionByName(
             _follow_across_cuts(busy, unit, order, values, parts)
         )

@@ -206,8 +206,8 @@ def silver_profile(decoded: DataFrame, silver: DataFrame) -> DataFrame:
         F.min("vehicle_timestamp").alias("first_time"),
         F.max("vehicle_timestamp").alias("last_time"),
     )
-    # both sides are a single row
-    return raw.withColumn("_one", F.lit(1)).join(clean.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    both = raw.unionByName(clean, allowMissingColumns=True)
+    return both.agg(*(F.max(name).alias(name) for name in both.columns))
 
 
 # -- unusual activity -----------------------------------------------------------------

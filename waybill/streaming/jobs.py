@@ -23,6 +23,7 @@ from waybill.schemas import LATEST_POSITIONS
 from waybill.sources.sinks import read_merged, write_jdbc, write_merged
 
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}  # fixed default of the jobs
+HISTORY_COLUMNS = [name for name in LATEST_POSITIONS.fieldNames() if name != "updated_at"]
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -53,9 +54,9 @@ def events_per_minute(
         event_time_filter(events)
         .withWatermark("vehicle_timestamp", watermark)
         .groupBy(F.window("vehicle_timestamp", window).alias("_window"))
-        .agg(F.count(F.lit(1)).alias("event_count"))
+        .agg(F.count(F.lit(1)).alias("vehicle_events"))
         .select(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"),
-                "event_count")
+                "vehicle_events")
     )
 
 
@@ -198,8 +199,8 @@ def history_of(
 def history_stream(
     records: DataFrame, writer: BatchWriter, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Every valid event appended by ``writer``."""
-    events = streaming_silver(parse_events(kafka_decode(records)))
+    """Every valid event appended by ``writer``, without its version, type and topic time."""
+    events = streaming_silver(parse_events(kafka_decode(records))).select(*HISTORY_COLUMNS)
     return history_of(events, writer, checkpoint, trigger)
 
 
@@ -209,11 +210,13 @@ def latest_stream(
     """Current position per vehicle, merged batch by batch if not older than what is stored.
 
     Batch ``n`` reads the newest version below ``n`` and writes version ``n``; a replay
-    starts from the same state.
+    starts from the same state. A batch without valid events leaves the state as it is.
     """
     events = streaming_silver(parse_events(kafka_decode(records)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         state = read_merged(batch.sparkSession, state_path, LATEST_POSITIONS, before=batch_id)
         merged = keyed_merge(
             state, latest_positions(batch), ["vehicle_id"], NOT_OLDER, time="vehicle_timestamp"
