@@ -57,8 +57,12 @@ def _events(spark, d):
     return ev.streaming_silver(_parsed(spark, d))
 
 
+def _stored_events(spark, d):
+    return ev.streaming_silver(fixtures.stored_events(use_utc(spark), d))
+
+
 def _latest(spark, d):
-    return serving.latest_positions(_events(spark, d), updated_at=F.col("ingestion_timestamp"))
+    return serving.latest_positions(_stored_events(spark, d), updated_at=F.col("ingestion_timestamp"))
 
 
 def _summary(spark, d):
@@ -192,11 +196,11 @@ def _snapshot_metrics_from_files(spark, d):
 
 def _table_scan(spark, d):
     path = scratch_path(spark, "silver")
-    sinks.write_table(_silver(spark, d).select(*sv_columns()), path, sort_by=("vehicle_id", "vehicle_timestamp"))
+    sinks.write_table(_silver(spark, d).select(*_silver_columns()), path, sort_by=("vehicle_id", "vehicle_timestamp"))
     return tables.table_scan(spark, path, required=("vehicle_id", "latitude", "longitude", "vehicle_timestamp"))
 
 
-def sv_columns() -> list[str]:
+def _silver_columns() -> list[str]:
     return [name for name in schemas.HISTORICAL_SILVER.fieldNames() if name != "vehicle_status"]
 
 
@@ -226,7 +230,7 @@ def _publish_events(spark, d):
 
 
 def _refresh(spark, d):
-    return rf.refresh(_events(spark, d), scratch_path(spark, "serving"), NOW)
+    return rf.refresh(_stored_events(spark, d), scratch_path(spark, "serving"), NOW)
 
 
 # -- merges ---------------------------------------------------------------------------
@@ -250,7 +254,7 @@ def _inferred_stops_merge(spark, d):
 
 
 def _route_summary_merge(spark, d):
-    events = _events(spark, d)
+    events = _stored_events(spark, d)
     stored, fresh = (
         serving.route_activity_summary(serving.latest_positions(part), at)
         for part, at in ((_before(events), SPLIT), (_since(events), NOW))
@@ -260,7 +264,7 @@ def _route_summary_merge(spark, d):
 
 def _latest_positions_merge(spark, d):
     """The later part is stored and the earlier part arrives late: nothing may move back."""
-    events = _events(spark, d)
+    events = _stored_events(spark, d)
     stored, late = (
         serving.latest_positions(part, updated_at=F.col("ingestion_timestamp"))
         for part in (_since(events), _before(events))
@@ -295,9 +299,8 @@ def _all_checks_passed(spark, d):
 def _run_record(spark, d):
     summary = _summary(spark, d)
     start, end = datetime(2024, 1, 2, 7, 59, 50, tzinfo=timezone.utc), NOW
-    return monitoring.run_record(
-        spark, "route_activity_refresh", start, end, summary, monitoring.validate_route_ids(summary)
-    )
+    passed = quality.all_checks_passed(monitoring.validate_route_ids(summary))
+    return monitoring.run_record("route_activity_refresh", start, end, summary, passed)
 
 
 def _alerts(spark, d):
@@ -372,6 +375,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "recent_alerts": lambda s, d: _rounded(gold.recent_alerts(_alerts(s, d)), "deviation_percent"),
         # serving
         "latest_positions": _latest,
+        "latest_positions_from_json": lambda s, d: serving.latest_positions(
+            _events(s, d), updated_at=F.col("ingestion_timestamp")),
         "latest_positions_merge": _latest_positions_merge,
         "route_activity_summary": _summary,
         "route_summary_merge": _route_summary_merge,
@@ -379,6 +384,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "vehicles_latest": lambda s, d: serving.vehicles_latest(_latest(s, d)),
         "vehicles_live": lambda s, d: serving.vehicles_live(_latest(s, d)),
         "routes_activity": lambda s, d: serving.routes_activity(_summary(s, d), limit=20),
+        "as_answer": lambda s, d: serving.as_answer(serving.vehicles_live(_latest(s, d))),
         "refresh": _refresh,
         # monitoring and quality
         "table_observability": lambda s, d: monitoring.table_observability(_positions(s, d), "vehicle_positions"),

@@ -431,6 +431,7 @@ FROM (SELECT * {unusual})"""),
         "recent_alerts": _with(alerts, f"""
 SELECT * REPLACE ({_r('deviation_percent')}) FROM alerts ORDER BY alert_id DESC LIMIT 20"""),
         "latest_positions": _with(latest, "SELECT * FROM latest"),
+        "latest_positions_from_json": _with(latest, "SELECT * FROM latest"),
         # the later part is newer for every vehicle it holds, so the late arrival changes nothing there
         "latest_positions_merge": _with(
             [*events, f"earlier AS (SELECT * FROM valid WHERE {BEFORE})", f"later AS (SELECT * FROM valid WHERE {SINCE})",
@@ -449,6 +450,9 @@ SELECT count(*) AS total_vehicles, count(DISTINCT route_id) AS active_routes,
         "vehicles_live": _with(latest, """
 SELECT vehicle_id, route_id, trip_id, latitude, longitude, vehicle_timestamp, ingestion_timestamp
 FROM latest ORDER BY updated_at DESC, vehicle_id"""),
+        "as_answer": _with(latest, f"""
+SELECT vehicle_id, route_id, trip_id, latitude, longitude, {_iso('vehicle_timestamp')} AS vehicle_timestamp,
+  {_iso('ingestion_timestamp')} AS ingestion_timestamp FROM latest"""),
         "routes_activity": _with(summary, "SELECT * FROM summary ORDER BY active_vehicle_count DESC, route_id LIMIT 20"),
         "refresh": _with(summary, "SELECT * FROM summary"),
         "table_observability": _with([VP], OBSERVED.format(name="'vehicle_positions'", where="true")),

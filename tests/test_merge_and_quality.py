@@ -182,8 +182,8 @@ def test_observability(spark):
 
 def test_run_record_follows_the_checks(spark):
     summary = spark.createDataFrame([("r",), ("",)], "route_id string")
-    record = monitoring.run_record(
-        spark, "x", NOW, NOW + timedelta(seconds=2.5), summary, monitoring.validate_route_ids(summary)).first()
+    passed = quality.all_checks_passed(monitoring.validate_route_ids(summary))
+    record = monitoring.run_record("x", NOW, NOW + timedelta(seconds=2.5), summary, passed).first()
     assert (record.status, record.data_quality_status, record.records_processed, record.duration_seconds) == (
         "FAILED", "FAILED", 2, 2.5)
 

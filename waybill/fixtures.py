@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from waybill.functions.times import MICROS_PER_MINUTE, floor_hour
 from waybill.operators.events import event_json
+from waybill.schemas import STREAMING_SILVER
 from waybill.sources.sinks import folder
 from waybill.sources.snapshots import feed_message
+from waybill.sources.tables import spread_small
 
 BASE_MICROS = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z
 
@@ -60,7 +62,7 @@ def positions_of(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id")
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +76,7 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return positions_of(read_events(spark, sf_dir))
+    return positions_of(spread_small(read_events(spark, sf_dir), "event_id"))
 
 
 def records_of(positions: DataFrame) -> DataFrame:
@@ -88,6 +90,13 @@ def records_of(positions: DataFrame) -> DataFrame:
     )
 
 
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions as events already parsed and stored, with the transport fields."""
+    return positions(spark, sf_dir).withColumn("kafka_timestamp", F.col("ingestion_timestamp")).select(
+        *STREAMING_SILVER.fieldNames()
+    )
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_of(positions(spark, sf_dir))
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from waybill.functions.times import elapsed_minutes
-from waybill.operators.quality import all_checks_passed, not_empty, run_checks
+from waybill.operators.quality import not_empty, run_checks
 
 
 def not_empty_check(df: DataFrame, name: str) -> DataFrame:
@@ -58,11 +58,9 @@ def validate_route_ids(summary: DataFrame) -> DataFrame:
 
 
 def run_record(
-    spark: SparkSession, name: str, start: datetime, end: datetime, processed: DataFrame,
-    results: DataFrame | None = None,
+    name: str, start: datetime, end: datetime, processed: DataFrame, passed: bool
 ) -> DataFrame:
     """One monitoring row for a finished run; its status follows from the check results."""
-    passed = results is None or all_checks_passed(results)
     return processed.agg(F.count(F.lit(1)).alias("records_processed")).select(
         F.lit(name).alias("pipeline_name"),
         F.lit("SUCCESS" if passed else "FAILED").alias("status"),

@@ -13,6 +13,7 @@ from waybill.plans.monitoring import (
 )
 from waybill.plans.serving import latest_positions, route_activity_summary
 from waybill.schemas import ROUTE_SUMMARY
+from waybill.session import hand_over
 from waybill.sources.sinks import append_metrics, read_merged, write_merged
 
 
@@ -24,6 +25,7 @@ def refresh(events: DataFrame, root: str, now: datetime | None = None) -> DataFr
     an error; an empty summary or a blank route id stops the run after recording it.
     """
     spark = events.sparkSession
+    events = hand_over(events)  # three steps read it
     start = datetime.now(timezone.utc)
     now = now or start
     summary_path = f"{root}/route_activity_summary"
@@ -40,12 +42,11 @@ def refresh(events: DataFrame, root: str, now: datetime | None = None) -> DataFr
         F.when(~F.col("passed"), "table is empty").otherwise("").alias("message"),
     )
     results = validate_route_ids(summary).unionByName(filled)
+    passed = all_checks_passed(results)
     append_metrics(freshness(events, now), f"{root}/freshness")
     append_metrics(table_observability(events, "vehicle_positions"), f"{root}/data_quality_metrics")
-    record = run_record(
-        spark, "route_activity_refresh", start, datetime.now(timezone.utc), summary, results
-    )
-    append_metrics(record, f"{root}/runs")
-    if not all_checks_passed(results):
+    end = datetime.now(timezone.utc)
+    append_metrics(run_record("route_activity_refresh", start, end, summary, passed), f"{root}/runs")
+    if not passed:
         raise RuntimeError("route_activity_summary is empty or holds blank route ids")
     return summary

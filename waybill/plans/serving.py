@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from waybill.functions.times import iso_text
 from waybill.operators.latest import latest_by, top_n
 from waybill.schemas import LATEST_POSITIONS
 
@@ -68,3 +69,11 @@ def vehicles_live(latest: DataFrame) -> DataFrame:
 
 def routes_activity(summary: DataFrame, limit: int = 100) -> DataFrame:
     return top_n(summary, _checked(limit), F.desc("active_vehicle_count"), F.asc("route_id"))
+
+
+def as_answer(df: DataFrame) -> DataFrame:
+    """Timestamps as ISO-8601 text, the form in which answers leave the service."""
+    return df.select(*(
+        iso_text(F.col(name)).alias(name) if kind == "timestamp" else F.col(name)
+        for name, kind in df.dtypes
+    ))
