@@ -141,7 +141,7 @@ def test_hand_over_stores_large_results_only(spark, monkeypatch):
     assert session.hand_over(df) is df
     monkeypatch.setattr(session, "is_small", lambda df: False)
     stored = session.hand_over(df)
-    assert stored.inputFiles() and stored.schema == df.schema
+    assert stored.inputFiles() and stored.dtypes == df.dtypes
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
 
 
