@@ -318,6 +318,29 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | _added()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return own_sql() | _added()[1]
+
+
+def _added() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, where that subpackage and the pipeline exist."""
+    try:
+        import corpus_pipeline
+        from waybill.llm import oracles as llm_oracles, queries as llm_queries
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "waybill.llm", "waybill.llm.oracles", "waybill.llm.queries"):
+            raise
+        return {}, {}
+    sql = dict(llm_oracles.SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}, sql
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # events
         "event_source": _event_stream,
@@ -411,5 +434,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def own_sql() -> dict[str, str]:
     return oracles.sql()

