@@ -4,17 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination, jaccard
+from waybill.llm import decontamination, jaccard, toxicity
+from waybill.llm.labelled import fold
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _decided(scored: DataFrame, held_out: Column, limit: float) -> DataFrame:
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= limit).cast("int").alias("predicted"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_groups(_read(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    lexicon = toxicity.toxicity_model(docs, _read(spark, sf_dir, "labels"), ~held_out)
+    return _decided(toxicity.scored(docs, lexicon), held_out, 0.7)
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items",
@@ -23,5 +36,6 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_jaccard_join": op4_jaccard_join,
+    "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
 }
