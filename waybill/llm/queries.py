@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination, jaccard, toxicity
+from waybill.llm import decontamination, jaccard, pieces, toxicity
 from waybill.llm.labelled import fold
 
 
+MODEL = "piece_bpe_32k.model"
+
+
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -21,6 +25,16 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_groups(_read(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(_read(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
+
+
+def token_digests(docs: DataFrame, model: str) -> DataFrame:
+    both = pieces.encoded(docs.select("doc_id", "text"), pieces.load(model))
+    return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold(F.col("doc_id"), 3) == 1
@@ -36,6 +50,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_jaccard_join": op4_jaccard_join,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
 }
