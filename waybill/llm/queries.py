@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination, jaccard, pieces, toxicity
+from waybill.llm import decontamination, jaccard, pieces, quality, toxicity
 from waybill.llm.labelled import fold
 
 
@@ -21,6 +21,13 @@ def _decided(scored: DataFrame, held_out: Column, limit: float) -> DataFrame:
                          (F.col("score") >= limit).cast("int").alias("predicted"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    space = quality.quality_model(docs, _read(spark, sf_dir, "labels"), ~held_out)
+    return _decided(quality.scored(docs, space), held_out, 0.3)
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_groups(_read(spark, sf_dir, "documents"))
 
@@ -49,6 +56,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_quality": op3_quality,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_toxicity": op7_toxicity,
