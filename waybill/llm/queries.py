@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination, jaccard, pieces, quality, toxicity
+from waybill.llm import decontamination, jaccard, pieces, quality, rendering, toxicity, urls
 from waybill.llm.labelled import fold
 
 
@@ -55,10 +55,27 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+URL_RULES = [
+    urls.Rule(urls.BLOCK, "net", "/"), urls.Rule(urls.ALLOW, "example.net", "/en/"),
+    urls.Rule(urls.BLOCK, "example.com", "/de/"), urls.Rule(urls.ALLOW, "org", "/fr/"),
+]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(_read(spark, sf_dir, "pages"), URL_RULES).drop("block_score")
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shown = rendering.rendered(_read(spark, sf_dir, "pages").select("page_id", "html"))
+    return shown.select("page_id", "text", "n_blocks", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op3_quality": op3_quality,
     "op4_jaccard_join": op4_jaccard_join,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
+    "op9_url_filter": op9_url_filter,
+    "op10_html_text": op10_html_text,
 }
