@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination, jaccard, pieces, quality, rendering, toxicity, urls
+from waybill.llm import decontamination, jaccard, neighbours, pieces, quality, rendering, toxicity, urls
 from waybill.llm.labelled import fold
 
 
@@ -32,6 +32,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_groups(_read(spark, sf_dir, "documents"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_read(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_read(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
 
@@ -73,6 +77,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_quality": op3_quality,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_neighbours": op5_neighbours,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_toxicity": op7_toxicity,
     "op8_decontamination": op8_decontamination,
