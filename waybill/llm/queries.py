@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination, jaccard, neighbours, pieces, quality, rendering, toxicity, urls
+from waybill.llm import decontamination, jaccard, neighbours, pieces, preference, quality, rendering, toxicity, urls, warc
 from waybill.llm.labelled import fold
 
 
@@ -21,6 +21,24 @@ def _decided(scored: DataFrame, held_out: Column, limit: float) -> DataFrame:
                          (F.col("score") >= limit).cast("int").alias("predicted"))
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _read(spark, sf_dir, "conversations")
+    pairs = preference.formatted(
+        preference.pairs_by_opening(turns).withColumn("kind", F.lit("opening")).unionByName(
+            preference.pairs_by_answer(turns).withColumn("kind", F.lit("answer"))))
+
+    def ranges(mask: str) -> Column:
+        return F.array_join(F.transform(mask, lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    return pairs.select("kind", "chosen_id", "rejected_id", "prompt_turns", "prompt", "chosen_text", "rejected_text",
+                        ranges("chosen_mask").alias("chosen_mask"), ranges("rejected_mask").alias("rejected_mask"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold(F.col("doc_id"), 5) == 0
@@ -75,6 +93,8 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_preference": op2_preference,
     "op3_quality": op3_quality,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_neighbours": op5_neighbours,
