@@ -1,19 +1,64 @@
-"""Corpus cleaning: stages over the documents, each written and read again before the next."""
+"""Corpus cleaning in stages, each written and read again before the next.
+
+Every stage takes (spark, docs, sf_dir), works on all documents its predecessor kept and returns what
+it keeps with the columns of ``documents``; the last returns token digests. Classifiers learn from
+the labelled documents among a stage's own input.
+
+Defined cases: an empty input passes through every stage. Without usable labels nothing is rejected.
+Rows with a null doc_id are judged by their text; as they can't be named they are never removed as the
+duplicate of another. Columns beside doc_id and text pass through unchanged up to the last stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination
+from waybill.llm import decontamination, jaccard, quality, toxicity
+from waybill.llm.queries import MODEL, token_digests
 from waybill.llm.tables import keep
 
+TOXIC, GOOD = 0.7, 0.3
+_SCORE = "__score"
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below ``TOXIC``."""
+    lexicon = toxicity.toxicity_model(docs, _table(spark, sf_dir, "labels"), F.lit(True))
+    return toxicity.scored(docs, lexicon, _SCORE).filter(F.col(_SCORE) < TOXIC).drop(_SCORE)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is at least ``GOOD``."""
+    space = quality.quality_model(docs, _table(spark, sf_dir, "labels"), F.lit(True))
+    return quality.scored(docs, space, name=_SCORE).filter(F.col(_SCORE) >= GOOD).drop(_SCORE)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document with the smallest id."""
+    return jaccard.one_of_each_group(docs)
+
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that share no span of ten words, or whole shorter item, with the benchmark."""
+    return decontamination.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digests of every document's ids and their decoding."""
+    return token_digests(docs, public_tokenizers.path(MODEL))
 
 
 STAGES = [
+    ("toxicity", remove_toxic),
+    ("quality classifier", keep_good),
+    ("n-gram Jaccard join", keep_one_of_each_group),
     ("benchmark decontamination", remove_contaminated),
+    ("SentencePiece encoding and decoding", tokenize),
 ]
 
 # scores of trained models, similarity components and tokenization are not SQL
@@ -22,7 +67,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``; what every stage returns is stored and read by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    docs = _table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
         docs = keep(stage(spark, docs, sf_dir), "stage")
     return docs
