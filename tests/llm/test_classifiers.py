@@ -1,0 +1,135 @@
+"""Toxicity and quality: what is learned, held-out accuracy, defined cases."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from waybill.llm import labelled, quality, queries, toxicity
+
+SF = "/root/testdata/sf0.1"
+DOCS = "doc_id long, text string, y int, total string, words string, found string"
+
+
+def accuracy(spark, query, target):
+    rows = query(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").filter("held_out").select(
+        "score", "predicted", F.col(target).alias("y")).collect()
+    right = sum(r["predicted"] == r["y"] for r in rows) / len(rows)
+    ones, zeros = ([r["score"] for r in rows if r["y"] == y] for y in (1, 0))
+    above = sum(a > b for a in ones for b in zeros) + 0.5 * sum(a == b for a in ones for b in zeros)
+    return right, above / (len(ones) * len(zeros)), rows
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
+def test_held_out_toxicity(spark):
+    right, area, rows = accuracy(spark, queries.op7_toxicity, "toxic")
+    flagged = [r["y"] for r in rows if r["predicted"]]
+    assert right > 0.98 and area > 0.94 and sum(flagged) / len(flagged) > 0.97
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
+def test_held_out_quality(spark):
+    right, area, _ = accuracy(spark, queries.op3_quality, "quality")
+    assert right > 0.98 and area > 0.99
+
+
+def test_folds(spark):
+    import zlib
+
+    ids = [0, 1, 77, 123456789, -5]
+    rows = spark.createDataFrame([(i,) for i in ids] + [(None,)], "doc_id long").select("doc_id", labelled.fold(F.col("doc_id"), 5).alias("f")).collect()
+    assert {r["doc_id"]: r["f"] for r in rows} == {None: None, **{i: zlib.crc32(str(i).encode()) % 5 for i in ids}}
+
+
+# -- toxicity ---------------------------------------------------------------------------
+
+def test_folding():
+    fold = toxicity.fold_text
+    assert fold("ІDI0T") == fold("idiot") == fold("1d1ot") == fold("ｉｄｉｏｔ") == " idiot "
+    assert fold("c1own") == fold("clown") and fold("m0r0n, l0$er!") == fold("moron loser")
+    assert fold(None) == fold("") == fold("...") == " "
+    assert fold("end! Next") == fold("end next") and fold("réeux") != fold("reeux")
+
+
+def test_matches_and_exceptions():
+    lexicon = toxicity.Lexicon({" bad ": 2.0, " nast": 1.0, " nastier ": 1.5}, [" not bad ", " nasturtium "])
+    count = lambda text: toxicity.counted(toxicity.fold_text(text), lexicon.matcher())
+    assert count("bad bad, BAD") == (6.0, 3)
+    assert count("not bad") == (0.0, 2) and count("not bad but bad") == (2.0, 4)
+    assert count("nasty nasturtium nastier") == (2.5, 3)
+    assert count("badge unbad") == (0.0, 2) and count("") == (0.0, 0)
+
+
+@pytest.fixture(scope="module")
+def toxic_rows():
+    rnd = random.Random(1)
+    say = lambda n: [rnd.choice("aeiou") + "lm" + rnd.choice("xyzw") * rnd.randint(1, 6) for _ in range(n)]
+    rows = []
+    for i in range(600):
+        text, y = say(rnd.randint(20, 60)), int(i % 5 == 0)
+        for _ in range(rnd.randint(2, 4) if y else 0):
+            text.insert(rnd.randrange(len(text)), rnd.choice(["gr0k", "GROK", "smerf", "smerfing", "smеrfed"]))  # one with a Cyrillic letter
+        if not y and rnd.random() < 0.3:
+            text.insert(3, "smerfberry")
+        rows.append((i, " ".join(text), y, "t", "w", "f"))
+    return rows
+
+
+def test_learned_lexicon(spark, toxic_rows):
+    sample = spark.createDataFrame(toxic_rows, DOCS).select("text", "y")
+    lexicon = toxicity.learn(sample)
+    assert " grok " in lexicon.weights and any(k.startswith(" smerf") for k in lexicon.weights)
+    docs = spark.createDataFrame(
+        toxic_rows + [(None, "grok grok smerf", 0, "t", "w", "f"), (1, None, 0, "t", "w", "f"), (2, "", 0, "t", "w", "f"),
+                      (3, "a smerfberry " * 9, 0, "t", "w", "f"), (3, "word " * 200_000 + "grok", 0, "t", "w", "f")], DOCS)
+    scored = toxicity.scored(docs, lexicon)
+    assert scored.columns == [*docs.columns, "score"]
+    rows = scored.collect()
+    assert all((r["score"] >= 0.7) == bool(r["y"]) for r in rows[:600])
+    none, null, empty, berry, long = (r["score"] for r in rows[600:])
+    assert none > 0.9 and null == empty and max(null, empty, berry, long) < 0.3
+    assert toxicity.scored(docs.limit(0), lexicon).count() == 0
+
+
+def test_toxicity_without_labels(spark, toxic_rows):
+    docs = spark.createDataFrame(toxic_rows[:20], DOCS)
+    for labels in ([], [(1, 0), (2, 0)], [(None, 1), (3, None), (4, 7)]):
+        model = toxicity.toxicity_model(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+        assert model.weights == {} and {r["score"] for r in toxicity.scored(docs, model).collect()} == {0.0}
+
+
+# -- quality ----------------------------------------------------------------------------
+
+def test_voting_equals_plain_arithmetic():
+    """Blocked cosine votes against one computed document by document."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["alpha", "beta", "gamma", "delta###", "eps***"]) for _ in range(rnd.randint(1, 60))) for _ in range(700)]
+    labels = np.array([t.count("#") + t.count("*") < 40 for t in texts[:120]], np.float32)
+    bag = quality.bags(pa.array(texts))
+    space = quality.fit(bag[:120], labels)
+    got = space.score(bag)
+    rate = labels.mean()
+    for i in range(0, 700, 7):
+        latent = space.project(bag[i : i + 1])[0]
+        near = np.array([latent @ v for v in space.vectors])
+        best = np.argsort(-near, kind="stable")[: quality.VOTERS]
+        weight = np.maximum(near[best], 0) ** quality.SHARPNESS
+        one, zero = (weight * labels[best]).sum() / rate, (weight * (1 - labels[best])).sum() / (1 - rate)
+        assert got[i] == pytest.approx(one / (one + zero), abs=1e-3)
+
+
+def test_quality_cases(spark):
+    rows = [(i, ("good words here and there " if i % 2 else "%%% ### *** !!! ") * (i % 7 + 1), 0, "t", "w", "f") for i in range(60)]
+    docs = spark.createDataFrame(rows + [(None, None, 0, "t", "w", "f"), (7, "", 0, "t", "w", "f"), (7, "good words " * 200_000, 0, "t", "w", "f")], DOCS)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(3, 1), (None, 0), (5, None)], "doc_id long, quality int")
+    scored = quality.scored(docs, quality.quality_model(docs, labels, F.lit(True)))
+    got = [r["score"] for r in scored.collect()]
+    assert all((s >= 0.3) == i % 2 for i, s in enumerate(got[:60])) and got[60] == got[61] == 0.5 and got[62] > 0.9
+    assert scored.columns == [*docs.columns, "score"]
+    empty = quality.quality_model(docs, labels.limit(0), F.lit(True))
+    assert {r["score"] for r in quality.scored(docs, empty).collect()} == {1.0}
+    assert quality.scored(docs.limit(0), empty).count() == 0

@@ -257,7 +257,8 @@ def render(html: str | None) -> str:
                     tables[-1].append([])
                 tables[-1][-1].append((text, max(1, int(span[1])) if span else 1))
             continue
-        out.line()
+        if tag in LINES or tag in SPACED:
+            out.line()
         if tag == "table":
             for line in _aligned([r for r in tables.pop() if r]):
                 out.put(line)

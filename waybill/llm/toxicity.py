@@ -46,13 +46,14 @@ STEMS = range(3, 10)
 
 
 def fold_text(text: str | None) -> str:
-    """`` word word `` of the folded text, with a space at both ends."""
+    """`` word word `` of the folded text, with a space at both ends; one space if there is no word."""
     text = (text or "").lower()
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
     # a sign that ends a word is punctuation, within or before letters it stands for one
     text = re.sub(r"[!|$@]+(?![^\W_])", " ", text).translate(_FOLD)
-    return " " + _GAPS.sub(" ", text).strip() + " "
+    words = _GAPS.sub(" ", text).strip()
+    return f" {words} " if words else " "
 
 
 @dataclass
