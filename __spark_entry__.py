@@ -7,7 +7,7 @@ The positions every query works on are derived by Spark from the whole ``events`
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -112,7 +112,7 @@ def _event_stream(spark, d):
     fixtures.records(spark, d).write.parquet(stored)
     decoded = ev.kafka_decode(streams.event_source(spark, "parquet", path=stored))
     _run(jobs.history_of(decoded, jobs.folder_writer(out), state, ONCE))
-    return spark.read.parquet(out).select(
+    return sinks.read_batches(spark, out).select(
         "key", "kafka_partition", "kafka_offset", "kafka_timestamp", F.length("value").alias("value_length")
     )
 
@@ -121,8 +121,7 @@ def _keyed_stream_result(spark, aggregated: DataFrame, key: str) -> DataFrame:
     """Last row written per key over all batches."""
     out, state = scratch_path(spark, "keyed"), scratch_path(spark, "state")
     _run(jobs.keyed_stream(aggregated, out, state, ONCE))
-    written = spark.read.parquet(out)
-    return gold.latest_by(written, [key], ["batch_id"]).drop("batch_id")
+    return gold.latest_by(sinks.read_batches(spark, out), [key], ["write"]).drop("write")
 
 
 def _events_per_minute_stream(spark, d):
@@ -143,8 +142,8 @@ def _quality_stream(spark, d, part: str):
     silver, refused, state = (scratch_path(spark, n) for n in ("silver", "quarantine", "state"))
     _run(jobs.quality_stream(_records_stream(spark, d), silver, refused, state, ONCE))
     if part == "silver":
-        return spark.read.parquet(silver).select(*schemas.STREAMING_SILVER.fieldNames())
-    return spark.read.parquet(refused).select("kafka_partition", "kafka_offset", "validation_error")
+        return sinks.read_batches(spark, silver).select(*schemas.STREAMING_SILVER.fieldNames())
+    return sinks.read_batches(spark, refused).select("kafka_partition", "kafka_offset", "validation_error")
 
 
 def _bronze_stream(spark, d):
@@ -160,7 +159,7 @@ def _bronze_stream(spark, d):
 def _history_stream(spark, d):
     out, state = scratch_path(spark, "history"), scratch_path(spark, "state")
     _run(jobs.history_stream(_records_stream(spark, d), jobs.folder_writer(out), state, ONCE))
-    return spark.read.parquet(out).drop("batch_id")
+    return sinks.read_batches(spark, out).drop("write")
 
 
 def _latest_stream(spark, d):
@@ -169,6 +168,30 @@ def _latest_stream(spark, d):
     return sinks.read_merged(spark, out, schemas.LATEST_POSITIONS).drop("updated_at")
 
 
+def _halves(spark, d) -> list[DataFrame]:
+    """The records as two streams of several files each, earlier half and later half by offset
+    parity, so that equal times and late rows fall on both sides."""
+    stored = scratch_path(use_utc(spark), "records")
+    records = fixtures.records(spark, d).withColumn("half", F.col("offset") % 2)
+    records.repartition(3, "partition").write.partitionBy("half").parquet(stored)
+    return [streams.event_source(spark, "parquet", path=f"{stored}/half={n}", maxFilesPerTrigger="1") for n in (0, 1)]
+
+
+def _history_stream_restart(spark, d):
+    """Two halves of the events under two checkpoints into one table, in several batches."""
+    halves, out = _halves(spark, d), scratch_path(spark, "history")
+    for half in halves:
+        _run(jobs.history_stream(half, jobs.folder_writer(out), scratch_path(spark, "state"), ONCE))
+    return sinks.read_batches(spark, out).drop("write")
+
+
+def _latest_stream_restart(spark, d):
+    halves, out = _halves(spark, d), scratch_path(spark, "latest")
+    for half in halves:
+        _run(jobs.latest_stream(half, out, scratch_path(spark, "state"), ONCE))
+    return sinks.read_merged(spark, out, schemas.LATEST_POSITIONS).drop("updated_at")
+
+
 # -- files ----------------------------------------------------------------------------
 
 def _snapshot_files(spark, d):
@@ -185,6 +208,31 @@ def _snapshot_scan(spark, d):
     ).distinct()
 
 
+def _latest_snapshot_scan(spark, d):
+    """The newest of the snapshots; modification times are set to follow the file names."""
+    root = scratch_path(spark, "snapshots")
+    fixtures.write_snapshots(_positions(spark, d), root)
+    fixtures.date_by_name(spark, root)
+    newest = snapshots.latest_snapshot_scan(spark, root)
+    return newest.select(base_name(F.col("path")).alias("source_file"), F.lit(newest.count()).cast("long").alias("files"))
+
+
+def _chronological(df: DataFrame, *order: str) -> DataFrame:
+    """A gold table stored in time order and read back with each row's place in it."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "gold")
+    sinks.write_table(df, path, sort_by=order)
+    stored = spark.read.schema(df.schema).parquet(path).withColumns(
+        {"file": F.col("_metadata.file_name"), "at": F.col("_metadata.row_index")})
+    # files are numbered in the order of their ranges
+    sizes = {r["file"]: r["n"] for r in stored.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, seen = [], 0
+    for name in sorted(sizes):
+        before.append((name, seen))
+        seen += sizes[name]
+    offsets = spark.createDataFrame(before, "file string, before long")
+    return stored.join(F.broadcast(offsets), "file").withColumn("place", F.col("before") + F.col("at")).drop("file", "at", "before")
+
+
 def _decode_snapshots(spark, d):
     return snapshots.decode_snapshots(_snapshot_files(spark, d))
 
@@ -230,7 +278,11 @@ def _publish_events(spark, d):
 
 
 def _refresh(spark, d):
-    return rf.refresh(_stored_events(spark, d), scratch_path(spark, "serving"), NOW)
+    """The latest positions are a stored table, as the stream job keeps them."""
+    root = scratch_path(spark, "serving")
+    sinks.write_merged(_latest(spark, d), f"{root}/latest")
+    latest = sinks.read_merged(spark, f"{root}/latest", schemas.LATEST_POSITIONS)
+    return rf.refresh(_stored_events(spark, d), root, NOW, latest)
 
 
 # -- merges ---------------------------------------------------------------------------
@@ -303,6 +355,50 @@ def _run_record(spark, d):
     return monitoring.run_record("route_activity_refresh", start, end, summary, passed)
 
 
+def _freshness_outcomes(spark, d):
+    """Every outcome: judged at the newest arrival, a day later, and with no rows."""
+    positions = _positions(spark, d)
+    newest = positions.agg(F.max("ingestion_timestamp")).first()[0]
+    cases = [("now", positions, newest), ("later", positions, newest + timedelta(days=1)), ("none", positions.filter("false"), newest)]
+    parts = [monitoring.freshness(df, at).select(F.lit(name).alias("case"), "status") for name, df, at in cases]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _failed_run_record(spark, d):
+    """Route ids with blank ones among them: the check fails and the record says so."""
+    summary = _summary(spark, d).withColumn("route_id", F.when(F.col("route_id") == "R1", " ").otherwise(F.col("route_id")))
+    passed = quality.all_checks_passed(monitoring.validate_route_ids(summary))
+    return monitoring.run_record("route_activity_refresh", NOW - timedelta(seconds=10), NOW, summary, passed)
+
+
+def _faulty_events(spark, d) -> DataFrame:
+    """Records of which some are damaged by a rule on their offset, one damage each."""
+    decoded = _decoded(spark, d)
+    value = F.col("value")
+    rules = [
+        (3, F.concat(value, F.lit(" x"))), (5, F.concat(value, value)),
+        (7, F.regexp_replace(value, '"latitude":[-0-9.]+', '"latitude":"north"')), (9, F.regexp_replace(value, r'^\{', '{"extra":1,')),
+        (11, F.lit("{bad")), (13, F.lit(None).cast("string")),
+        (15, F.regexp_replace(value, '"event_version":[0-9]+', '"event_version":"1"')),
+        (17, F.regexp_replace(value, '"event_version":[0-9]+,', "")),
+        (19, F.regexp_replace(value, '"event_type":"[a-z_]*",', "")),
+        (21, F.regexp_replace(value, ',?"ingestion_timestamp":"[^"]*"', "")),
+    ]
+    out = value
+    for left, damaged in rules:
+        out = F.when(F.col("kafka_offset") % 40 == left, damaged).otherwise(out)
+    return decoded.withColumn("value", out)
+
+
+def _contract_breaches(spark, d):
+    return ev.contract_check(_faulty_events(spark, d)).select("kafka_partition", "kafka_offset", "contract_ok")
+
+
+def _every_validation_error(spark, d):
+    parsed = ev.parse_events(_faulty_events(spark, d), keep_raw=True)
+    return ev.with_validation_error(parsed).select("kafka_partition", "kafka_offset", "validation_error")
+
+
 def _alerts(spark, d):
     return gold.mobility_alerts(_anomalies(spark, d))
 
@@ -361,6 +457,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "publish_events": _publish_events,
         # snapshots and silver
         "snapshot_scan": _snapshot_scan,
+        "latest_snapshot_scan": _latest_snapshot_scan,
         "decode_snapshots": _decode_snapshots,
         "exact_dedupe": lambda s, d: sv.exact_dedupe(_positions(s, d)),
         "historical_silver": _silver,
@@ -415,6 +512,13 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duplicate_keys": lambda s, d: monitoring.duplicate_keys(
             _positions(s, d), ["vehicle_id", "vehicle_timestamp"]),
         "freshness": lambda s, d: _rounded(monitoring.freshness(_positions(s, d), NOW), "age_minutes"),
+        "freshness_outcomes": _freshness_outcomes,
+        "failed_run_record": _failed_run_record,
+        "contract_breaches": _contract_breaches,
+        "every_validation_error": _every_validation_error,
+        "hourly_chronological": lambda s, d: _chronological(gold.hourly_vehicle_activity(_silver(s, d)), "hour"),
+        "snapshots_chronological": lambda s, d: _chronological(
+            gold.snapshot_metrics(_positions(s, d)), "snapshot_time", "source_file"),
         "not_empty_check": lambda s, d: monitoring.not_empty_check(_summary(s, d), "route_activity_summary"),
         "run_record": _run_record,
         "run_checks": _run_checks,
@@ -431,6 +535,8 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_stream": _bronze_stream,
         "history_stream": _history_stream,
         "latest_stream": _latest_stream,
+        "history_stream_restart": _history_stream_restart,
+        "latest_stream_restart": _latest_stream_restart,
     }
 
 

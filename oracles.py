@@ -132,6 +132,21 @@ coded AS (
 )"""
 
 
+# what the damages by offset do to the parsed fields; text after the object and further keys do nothing
+DAMAGED = """
+streamed AS (
+  SELECT CASE WHEN d IN (11, 13, 15, 17) THEN NULL ELSE event_version END AS event_version,
+    CASE WHEN d IN (11, 13, 19) THEN NULL ELSE event_type END AS event_type,
+    CASE WHEN d IN (11, 13) THEN NULL ELSE vehicle_id END AS vehicle_id,
+    CASE WHEN d IN (7, 11, 13) THEN NULL ELSE latitude END AS latitude,
+    CASE WHEN d IN (11, 13) THEN NULL ELSE longitude END AS longitude,
+    CASE WHEN d IN (11, 13) THEN NULL ELSE vehicle_timestamp END AS vehicle_timestamp,
+    CASE WHEN d IN (11, 13, 21) THEN NULL ELSE ingestion_timestamp END AS ingestion_timestamp,
+    kafka_partition, kafka_offset
+  FROM (SELECT *, kafka_offset % 40 AS d FROM vp)
+)"""
+
+
 def _latest(name: str, source: str) -> str:
     return f"""
 {name} AS (
@@ -371,6 +386,12 @@ SELECT event_version, event_type, vehicle_id, route_id, trip_id, latitude, longi
   kafka_offset, kafka_timestamp, validation_error FROM coded WHERE validation_error IS NOT NULL"""),
         "contract_check": _with([VP], f"""
 SELECT kafka_partition, kafka_offset, coalesce({CONTRACT}, false) AS contract_ok FROM vp"""),
+        "contract_breaches": _with([VP], f"""
+SELECT kafka_partition, kafka_offset,
+  coalesce({CONTRACT}, false) AND kafka_offset % 40 NOT IN (3, 5, 9, 11, 13, 15, 17, 19, 21)
+    AND NOT (kafka_offset % 40 = 7 AND latitude IS NOT NULL) AS contract_ok FROM vp"""),
+        "every_validation_error": _with(
+            [VP, DAMAGED, CODES], "SELECT kafka_partition, kafka_offset, validation_error FROM coded"),
         "build_event": _with([VP], """
 SELECT 1 AS event_version, 'vehicle_position' AS event_type, vehicle_id, route_id, trip_id, latitude,
   longitude, vehicle_timestamp, ingestion_timestamp FROM vp WHERE vehicle_id <> ''"""),
@@ -383,6 +404,7 @@ FROM vp WHERE vehicle_id <> '' AND (latitude IS NULL OR latitude BETWEEN -90 AND
         "snapshot_scan": _with([VP], """
 SELECT DISTINCT source_file,
   strptime(regexp_extract(source_file, '(\\d{8}_\\d{6})', 1), '%Y%m%d_%H%M%S') AS ingestion_timestamp FROM vp"""),
+        "latest_snapshot_scan": _with([VP], "SELECT max(source_file) AS source_file, 1::BIGINT AS files FROM vp"),
         "decode_snapshots": _with([VP], decoded),
         "exact_dedupe": _with([VP], "SELECT DISTINCT * FROM vp"),
         "historical_silver": _with(silver, "SELECT * FROM silver"),
@@ -409,6 +431,10 @@ SELECT count(*) AS movement_records, count(*) FILTER (WHERE is_speed_anomaly) AS
         "summary_totals": _with(routed, """
 SELECT sum(active_vehicles)::BIGINT AS total_active_vehicles, count(*) AS total_routes FROM route_vehicles"""),
         "hourly_vehicle_activity": _with(hourly, "SELECT * FROM hourly"),
+        "hourly_chronological": _with(hourly, "SELECT *, row_number() OVER (ORDER BY hour) - 1 AS place FROM hourly"),
+        "snapshots_chronological": _with([VP], f"""
+SELECT *, row_number() OVER (ORDER BY snapshot_time NULLS FIRST, source_file) - 1 AS place
+FROM ({SNAPSHOT_METRICS.format(time="vehicle_timestamp")})"""),
         "hourly_comparison": _with(hourly, """
 SELECT h.hour, h.active_vehicles, p.active_vehicles AS previous_active_vehicles,
   h.active_vehicles - p.active_vehicles AS difference
@@ -467,6 +493,12 @@ SELECT latest_ingestion_timestamp, floor(age * 1e6 + 0.5) / 1e6 AS age_minutes,
   CASE WHEN age IS NULL THEN 'no_data' WHEN age > 10 THEN 'stale' ELSE 'fresh' END AS status
 FROM (SELECT max(ingestion_timestamp) AS latest_ingestion_timestamp,
         (epoch_us({NOW}) - epoch_us(max(ingestion_timestamp)))::DOUBLE / 1e6 / 60 AS age FROM vp)"""),
+        "freshness_outcomes": """
+SELECT * FROM (VALUES ('now', 'fresh'), ('later', 'stale'), ('none', 'no_data')) t("case", status)""",
+        "failed_run_record": _with(summary, f"""
+SELECT 'route_activity_refresh' AS pipeline_name, 'FAILED' AS status,
+  TIMESTAMP '2024-01-02 07:59:50' AS start_time, {NOW} AS end_time, 10.0::DOUBLE AS duration_seconds,
+  count(*) AS records_processed, 'FAILED' AS data_quality_status FROM summary"""),
         "not_empty_check": _with(summary, """
 SELECT 'route_activity_summary' AS table_name, count(*) AS row_count, count(*) > 0 AS passed FROM summary"""),
         "run_record": _with(summary, f"""
@@ -493,4 +525,6 @@ SELECT kafka_partition, kafka_offset, validation_error FROM coded WHERE validati
 SELECT event_version, vehicle_id, latitude, kafka_partition, kafka_offset, true AS has_arrival FROM vp"""),
         "history_stream": _with(events, f"SELECT {LATEST_COLUMNS} FROM valid"),
         "latest_stream": _with(latest, f"SELECT {LATEST_COLUMNS} FROM latest"),
+        "history_stream_restart": _with(events, f"SELECT {LATEST_COLUMNS} FROM valid"),
+        "latest_stream_restart": _with(latest, f"SELECT {LATEST_COLUMNS} FROM latest"),
     }

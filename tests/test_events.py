@@ -112,6 +112,8 @@ def test_json_is_parsed_once(spark):
     (text(extra=1), False),
     (without("trip_id"), False),
     ("{bad", False), ("[]", False), ("null", False), ("", False), (None, False),
+    (text() + " x", False), (text() + text(), False), (text() + "," + text(), False), ("  " + text() + "\n", True),
+    (text().replace("{", '{"event_version": 2, ', 1), True), (text()[:-1] + ', "event_version": 2}', False),
 ])
 def test_contract(spark, value, ok):
     df = spark.createDataFrame([(value,)], "value string")

@@ -40,3 +40,12 @@ def test_route_performance_plans_agree(spark):
     assert plain["hot"].active_vehicles == len({r[0] for r in hot})
     assert plain["hot"].median_speed_kmh == pytest.approx(statistics.median(r[3] for r in hot if r[3] is not None))
     assert plain["hot"].total_distance_km == pytest.approx(sum(r[2] for r in hot if r[3] is not None))
+
+
+def test_crowded_bins_are_divided(spark):
+    """All values in one fine bin, more than a task should rank."""
+    rng = random.Random(4)
+    rows = [("c", 50 + rng.random() * 1e-7) for _ in range(901)] + [("c", 50.0)] * 30 + [("d", 3.0)] * 9
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.m for r in exact_median(df, ["k"], "v", 0.0, 120.0, "m", bins=16, crowded=20).collect()}
+    assert got == {k: statistics.median(v for x, v in rows if x == k) for k in "cd"}

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill.operators import merge, quality
-from waybill.plans import monitoring, refresh as rf
+from waybill.plans import monitoring, refresh as rf, serving
 from waybill.schemas import ROUTE_SUMMARY
 from waybill.sources import sinks, tables
 
@@ -63,22 +63,40 @@ def test_not_yet_stored(spark):
 
 # -- versions -------------------------------------------------------------------------
 
-def test_versions_commit_replace_and_expire(spark, tmp_path):
+def test_versions_commit_and_expire_on_request(spark, tmp_path):
     path = str(tmp_path / "table")
     schema = spark.createDataFrame([], S).schema
     assert sinks.read_merged(spark, path, schema).isEmpty()
+    first = None
     for n in range(5):
         state = sinks.read_merged(spark, path, schema)
         update = spark.createDataFrame([("a", n, n, n), (f"k{n}", n, n, n)], S)
-        assert sinks.write_merged(merge.keyed_merge(state, update, ["k"]), path) == n
-    assert sinks.versions(spark, path) == [2, 3, 4]
+        assert sinks.write_merged(merge.keyed_merge(state, update, ["k"]), path, source=f"q.{n}") == n
+        first = first or sinks.read_merged(spark, path, schema)
+    assert first.count() == 2  # a reader of an old version survives later commits
+    assert sinks.versions(spark, path) == [0, 1, 2, 3, 4]
     assert sinks.read_merged(spark, path, schema).count() == 6
     assert sinks.read_merged(spark, path, schema, before=4).count() == 5
-    # an unfinished version is invisible
+    # an unfinished version is invisible, and its number isn't used again
     (tmp_path / "table" / "version=9").mkdir()
     assert sinks.read_merged(spark, path, schema).count() == 6
-    sinks.write_merged(spark.createDataFrame([("z", 1, 1, 1)], S), path, version=4)
+    update = spark.createDataFrame([("z", 1, 1, 1)], S)
+    assert sinks.write_merged(update, path, source="q.3") == 3  # a replay writes nothing
+    assert sinks.read_merged(spark, path, schema).count() == 6
+    assert sinks.write_merged(update, path, source="other.3") == 10  # the same batch of another query is new
     assert [r.k for r in sinks.read_merged(spark, path, schema).collect()] == ["z"]
+    assert sinks.expire_versions(spark, path, keep=2) == [0, 1, 2, 3]
+    assert sinks.versions(spark, path) == [4, 10]
+
+
+def test_batches_replace_only_themselves(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    one = lambda n: spark.createDataFrame([(n,)], "n int")
+    for n, source in ((1, "p.0"), (2, "q.0"), (3, "p.1"), (4, "p.0")):
+        sinks.write_batch(one(n), path, source)
+    (tmp_path / "batches" / "write=0000000007.x.0").mkdir()
+    got = sorted((r.write, r.n) for r in sinks.read_batches(spark, path).collect())
+    assert got == [("0000000000.p.0", 4), ("0000000001.q.0", 2), ("0000000002.p.1", 3)]
 
 
 def test_table_scan_refuses_bad_input(spark, tmp_path):
@@ -197,7 +215,8 @@ def events(spark, *rows):
 
 def test_refresh_merges_and_records(spark, tmp_path):
     root = str(tmp_path)
-    rf.refresh(events(spark, ("a", "r1", 0), ("b", "r2", 0)), root, NOW)
+    first = events(spark, ("a", "r1", 0), ("b", "r2", 0))
+    rf.refresh(first, root, NOW, latest=serving.latest_positions(first))
     later = NOW + timedelta(hours=1)
     got = {r.route_id: r for r in rf.refresh(events(spark, ("a", "r1", 5), ("b", "r1", 6)), root, later).collect()}
     assert got["r1"].active_vehicle_count == 2 and got["r1"].updated_at.hour == 13
@@ -214,3 +233,10 @@ def test_refresh_stops_on_a_blank_route(spark, tmp_path):
         rf.refresh(events(spark), str(tmp_path / "empty"), NOW)
     assert spark.read.parquet(f"{tmp_path}/runs").first().status == "FAILED"
     assert sinks.read_merged(spark, f"{tmp_path}/route_activity_summary", ROUTE_SUMMARY).count() == 1
+
+
+def test_table_health_equals_its_parts(spark):
+    table = events(spark, ("a", "r1", 0), ("a", "r1", 0), ("b", None, 4))
+    observed, fresh = monitoring.table_health(table, "t", NOW)
+    assert observed.collect() == monitoring.table_observability(table, "t").collect()
+    assert fresh.collect() == monitoring.freshness(table, NOW).collect()

@@ -81,10 +81,10 @@ def test_quality_stream_splits_without_loss(spark, topic, tmp_path):
     topic.send(*MIXED)
     silver, refused = str(tmp_path / "silver"), str(tmp_path / "refused")
     finish(jobs.quality_stream(topic.stream(), silver, refused, str(tmp_path / "ck"), ONCE))
-    assert spark.read.parquet(silver).count() == 3
-    codes = values(spark.read.parquet(refused), "validation_error")
+    assert sinks.read_batches(spark, silver).count() == 3
+    codes = values(sinks.read_batches(spark, refused), "validation_error")
     assert codes == [("invalid_latitude",), ("missing_or_invalid_event_version",), ("missing_vehicle_timestamp",)]
-    assert "{bad" in {r.raw_event for r in spark.read.parquet(refused).collect()}
+    assert "{bad" in {r.raw_event for r in sinks.read_batches(spark, refused).collect()}
 
 
 def test_bronze_keeps_unknown_fields_and_broken_text(spark, topic, tmp_path):
@@ -107,9 +107,9 @@ def test_late_rows_do_not_move_the_latest_state_back(spark, topic, tmp_path):
     parsed = ev.parse_events(ev.kafka_decode(topic.stream()))
     out = str(tmp_path / "state")
     finish(jobs.keyed_stream(jobs.latest_vehicle_state(parsed), out, str(tmp_path / "ck"), ONCE))
-    written = spark.read.parquet(out)
+    written = sinks.read_batches(spark, out)
     last = {}
-    for r in sorted(written.collect(), key=lambda r: r.batch_id):
+    for r in sorted(written.collect(), key=lambda r: r.write):
         last[r.vehicle_id] = r.latitude
     assert last == {"a": 28.005, "b": 2.0, "c": 28.0}
     twin = jobs.latest_vehicle_state(ev.parse_events(ev.kafka_decode(topic.table())))
@@ -140,10 +140,40 @@ def test_history_stream_replaces_a_replayed_batch(spark, topic, tmp_path):
         write(batch, batch_id)
 
     finish(jobs.history_stream(topic.stream(), twice, str(tmp_path / "ck"), ONCE))
-    stored = spark.read.parquet(out)
+    stored = sinks.read_batches(spark, out)
     assert stored.count() == 3 and "event_version" not in stored.columns
 
 
+def test_new_checkpoint_on_existing_output_loses_nothing(spark, topic, tmp_path):
+    """Batch numbers start again at 0; what the first query wrote stays."""
+    topic.send(event("a", 50), event("b", 10))
+    topic.send(event("c", 5), "{bad")
+    latest, history, minutes, silver, refused = (str(tmp_path / n) for n in ("latest", "history", "minutes", "silver", "refused"))
+
+    def run(name):
+        ck = lambda kind: str(tmp_path / f"{kind}-{name}")
+        stream = topic.stream()
+        finish(jobs.latest_stream(stream, latest, ck("latest"), ONCE))
+        finish(jobs.history_stream(topic.stream(), jobs.folder_writer(history), ck("history"), ONCE))
+        finish(jobs.quality_stream(topic.stream(), silver, refused, ck("quality"), ONCE))
+        parsed = ev.parse_events(ev.kafka_decode(topic.stream()))
+        finish(jobs.keyed_stream(jobs.latest_vehicle_state(parsed), minutes, ck("keyed"), ONCE))
+
+    run("first")
+    topic.path = tmp_path / "second"
+    topic.path.mkdir()
+    topic.send(event("a", 55), event("d", 1), event("b", 3), "{bad")
+    run("second")
+    state = sinks.read_merged(spark, latest, LATEST_POSITIONS)
+    assert values(state, "vehicle_id", "latitude") == [("a", 28.0055), ("b", 28.001), ("c", 28.0005), ("d", 28.0001)]
+    assert values(sinks.read_batches(spark, history), "vehicle_id") == [(v,) for v in "aabbcd"]
+    assert sinks.read_batches(spark, silver).count() == 6 and sinks.read_batches(spark, refused).count() == 2
+    newest = {}
+    for r in sorted(sinks.read_batches(spark, minutes).collect(), key=lambda r: r.write):
+        newest[r.vehicle_id] = r.latitude
+    assert newest == {"a": 28.0055, "b": 28.0003, "c": 28.0005, "d": 28.0001}  # the second query's own state
+
+
 def test_events_per_minute_drops_rows_beyond_the_watermark(spark, topic, tmp_path):
     topic.send(event("a", 0), event("a", 30), event("b", 61))
     topic.send(event("a", 600))
@@ -153,7 +183,7 @@ def test_events_per_minute_drops_rows_beyond_the_watermark(spark, topic, tmp_pat
     out = str(tmp_path / "minutes")
     finish(jobs.keyed_stream(jobs.events_per_minute(parsed), out, str(tmp_path / "ck"), ONCE))
     last = {}
-    for r in sorted(spark.read.parquet(out).collect(), key=lambda r: r.batch_id):
+    for r in sorted(sinks.read_batches(spark, out).collect(), key=lambda r: r.write):
         last[r.window_start.minute] = r.vehicle_events
     assert last == {0: 2, 1: 1, 10: 3}
     twin = jobs.events_per_minute(ev.parse_events(ev.kafka_decode(topic.table())))

@@ -8,6 +8,7 @@ operator has work to do at any scale. One scan, no shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,7 +17,7 @@ from waybill.operators.events import event_json
 from waybill.schemas import STREAMING_SILVER
 from waybill.sources.sinks import folder
 from waybill.sources.snapshots import feed_message
-from waybill.sources.tables import spread_small
+from waybill.sources.tables import spread_files
 
 BASE_MICROS = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z
 
@@ -76,7 +77,7 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return positions_of(spread_small(read_events(spark, sf_dir), "event_id"))
+    return positions_of(spread_files(read_events(spark, sf_dir), "event_id"))
 
 
 def records_of(positions: DataFrame) -> DataFrame:
@@ -111,7 +112,9 @@ def write_snapshots(positions: DataFrame, path: str) -> None:
     Every Arrow batch writes its own part of each snapshot into a folder of its own, so no
     snapshot is gathered in one task, and a task that runs again replaces its files.
     """
-    root = path if "://" in path else "file://" + path.removeprefix("file:")
+    _, location = folder(positions.sparkSession, path)
+    root = location.getFileSystem(positions.sparkSession._jsc.hadoopConfiguration()).makeQualified(location).toUri().toString()
+    root = root.replace("file:/", "file:///", 1) if not root.startswith("file://") else root
 
     def encode(batches: Iterator) -> Iterator:
         import pandas as pd
@@ -154,3 +157,13 @@ def write_snapshots(positions: DataFrame, path: str) -> None:
         (F.col("kafka_offset") % 3).alias("status"), "source_file",
     )
     rows.mapInPandas(encode, "files bigint").write.format("noop").mode("overwrite").save()
+
+
+def date_by_name(spark: SparkSession, path: str) -> None:
+    """Sets the modification times of snapshot files to the order of their names."""
+    names = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.bin")
+             .option("recursiveFileLookup", "true").load(path).select("path").collect()]
+    for name in names:
+        files, location = folder(spark, name)
+        polled = datetime.strptime(location.getName(), "vehicle_positions_%Y%m%d_%H%M%S.bin").replace(tzinfo=timezone.utc)
+        files.setTimes(location, int(polled.timestamp()) * 1000, -1)

@@ -11,9 +11,9 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     """Great-circle distance in kilometres between two points in degrees."""
     half_lat = F.radians(lat2 - lat1) / 2
     half_lon = F.radians(lon2 - lon1) / 2
-    chord = F.pow(F.sin(half_lat), F.lit(2)) + (
+    chord = F.least(F.lit(1.0), F.pow(F.sin(half_lat), F.lit(2)) + (
         F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_lon), F.lit(2))
-    )
+    ))  # rounding may lift it above 1 for points on opposite sides, where the root would be NaN
     return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(chord), F.sqrt(F.lit(1.0) - chord))
 
 

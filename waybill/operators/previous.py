@@ -17,11 +17,10 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from waybill.session import cut_lineage, is_small
+from waybill.session import cut_lineage, hand_over
 
 HOT_SLICE_ROWS = 2_000_000
 MAX_BROADCAST_SLICES = 500_000
-MAX_PARTS = 10_000
 
 
 def with_previous(
@@ -33,7 +32,7 @@ def with_previous(
     reach_minutes: float,
     slice_minutes: float | None = None,
     hot_rows: int = HOT_SLICE_ROWS,
-    count_slices: bool | None = None,
+    count_slices: bool = True,
 ) -> DataFrame:
     """Rows that have a predecessor within reach, plus struct ``previous(values, time)``.
 
@@ -41,9 +40,8 @@ def with_previous(
     ``(time, *tie)``; rows whose predecessor lies more than ``reach_minutes`` back, and
     first rows, are left out. ``key`` and ``time`` must not be null.
 
-    ``count_slices`` forces or forbids the search for oversized slices, which reads ``df``
-    once more for its key and time; by default it runs for inputs that are not small by
-    Spark's estimate.
+    The search for oversized slices reads ``df`` once more for its key and time; without
+    ``count_slices`` the caller vouches that none is too large for a task.
     """
     reach = round(reach_minutes * 60_000_000)
     width = round((slice_minutes or 6 * reach_minutes) * 60_000_000)
@@ -53,8 +51,6 @@ def with_previous(
     placed = _place_in_slices(df, time, reach, width)
     unit = [key, "_slice"]
     order = [time, *tie]
-    if count_slices is None:
-        count_slices = not is_small(df)
     hot = _hot_slices(placed, unit, hot_rows) if count_slices else None
 
     if hot is None:
@@ -64,8 +60,7 @@ def with_previous(
         slices = F.broadcast(slices) if hot_slices <= MAX_BROADCAST_SLICES else slices
         cool = placed.join(slices, unit, "left_anti")
         busy = placed.join(slices, unit, "left_semi")
-        # beyond MAX_PARTS the ranges just grow; the rows stay evenly spread over them
-        parts = min(math.ceil(total / hot_rows) + 1, MAX_PARTS)
+        parts = math.ceil(total / hot_rows) + 1
         followed = _follow(cool, unit, order, values).unionByName(
             _follow_across_cuts(busy, unit, order, values, parts)
         )
@@ -111,12 +106,13 @@ def _follow_across_cuts(
 ) -> DataFrame:
     """``_follow`` with the rows cut into ``parts`` ranges of the full sort order.
 
-    The cut rows are checkpointed because the cut points come from a sample and must not
-    be drawn again by a second reader.
+    The rows are stored before the cut, which draws its points from a sample, and after it,
+    as the points must not be drawn again by a second reader. Rows equal in all of ``sort``
+    can't be parted: they are one row as far as the order goes.
     """
     sort = [*unit, *order]
-    cut = cut_lineage(
-        busy.repartitionByRange(parts, *sort).withColumn("_part", F.spark_partition_id())
+    cut = hand_over(
+        hand_over(busy).repartitionByRange(parts, *sort).withColumn("_part", F.spark_partition_id())
     )
     carried = F.struct(*unit, *_carried(values, order))
     inside = Window.partitionBy("_part").orderBy(*sort)

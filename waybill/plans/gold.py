@@ -9,10 +9,6 @@ from waybill.functions.text import base_name, decimal_text
 from waybill.functions.times import filename_timestamp, floor_hour
 from waybill.operators.latest import latest_by, top_n
 from waybill.operators.median import exact_median
-from waybill.session import is_small
-
-
-MEDIAN_BUFFER_BYTES = 32 * 1024 * 1024
 
 
 def _order_of(df: DataFrame, tie: list[str]) -> list[str]:
@@ -57,16 +53,14 @@ def summary_totals(summary: DataFrame) -> DataFrame:
 
 def route_performance(
     movement: DataFrame, min_records: int = 5, max_speed_kmh: float = 120,
-    median_by_rank: bool | None = None,
+    median_by_rank: bool = True,
 ) -> DataFrame:
     """Speed statistics per route with at least ``min_records`` rows that have a speed.
 
-    Vehicles are counted over all rows of the route. The built-in median buffers all
-    speeds of a route, so beyond a small input (or with ``median_by_rank``) the median
-    comes from ``exact_median``; the results are the same.
+    Vehicles are counted over all rows of the route. The median comes from ``exact_median``,
+    which reads ``movement`` twice more, so store it first. Without ``median_by_rank`` it is the
+    built-in one, which buffers all speeds of a route; the results are the same.
     """
-    if median_by_rank is None:
-        median_by_rank = not is_small(movement, MEDIAN_BUFFER_BYTES)
     routed = movement.filter(F.col("route_id").isNotNull())
     statistics = [
         F.count("speed_kmh").alias("movement_records"),

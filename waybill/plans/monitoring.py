@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from waybill.functions.times import elapsed_minutes
 from waybill.operators.quality import not_empty, run_checks
+from waybill.session import hand_over
 
 
 def not_empty_check(df: DataFrame, name: str) -> DataFrame:
@@ -19,11 +20,15 @@ def not_empty_check(df: DataFrame, name: str) -> DataFrame:
 
 def freshness(df: DataFrame, now: datetime | Column, max_age_minutes: float = 10) -> DataFrame:
     """Age of the newest arrival: ``fresh``, ``stale`` or ``no_data``; none is an error."""
+    newest = df.agg(F.max("ingestion_timestamp").alias("latest_ingestion_timestamp"))
+    return _aged(newest, now, max_age_minutes)
+
+
+def _aged(newest: DataFrame, now: datetime | Column, max_age_minutes: float) -> DataFrame:
     at = (now if isinstance(now, Column) else F.lit(now)).cast("timestamp")
     age = elapsed_minutes(at, F.col("latest_ingestion_timestamp"))
     return (
-        df.agg(F.max("ingestion_timestamp").alias("latest_ingestion_timestamp"))
-        .withColumn("age_minutes", age)
+        newest.withColumn("age_minutes", age)
         .withColumn(
             "status",
             F.when(F.col("age_minutes").isNull(), "no_data")
@@ -40,18 +45,33 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def table_observability(df: DataFrame, table_name: str) -> DataFrame:
     """Rows, rows without id or arrival time, and repeated (id, event time) pairs, in one pass."""
+    return _observed(df, table_name).drop("latest_ingestion_timestamp")
+
+
+def _observed(df: DataFrame, table_name: str) -> DataFrame:
     missing = F.col("vehicle_id").isNull() | F.col("ingestion_timestamp").isNull()
     pairs = df.groupBy("vehicle_id", "vehicle_timestamp").agg(
-        F.count(F.lit(1)).alias("_rows"), F.count_if(missing).alias("_missing")
+        F.count(F.lit(1)).alias("_rows"), F.count_if(missing).alias("_missing"),
+        F.max("ingestion_timestamp").alias("_newest"),
     )
     return pairs.agg(
         F.lit(table_name).alias("table_name"),
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum("_missing"), F.lit(0)).alias("null_count"),
         F.count_if(F.col("_rows") > 1).alias("duplicate_count"),
+        F.max("_newest").alias("latest_ingestion_timestamp"),
     )
 
 
+def table_health(
+    df: DataFrame, table_name: str, now: datetime | Column, max_age_minutes: float = 10
+) -> tuple[DataFrame, DataFrame]:
+    """(observability, freshness) of a table from one pass over three of its columns."""
+    observed = hand_over(_observed(df, table_name))  # one row
+    newest = observed.select("latest_ingestion_timestamp")
+    return observed.drop("latest_ingestion_timestamp"), _aged(newest, now, max_age_minutes)
+
+
 def validate_route_ids(summary: DataFrame) -> DataFrame:
     """The not-empty rule over every route id of the summary."""
     return run_checks(summary, [not_empty("route_id", name="route_id_not_empty")])

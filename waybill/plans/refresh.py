@@ -8,29 +8,30 @@ from pyspark.sql import DataFrame, functions as F
 
 from waybill.operators.merge import OVERWRITE, keyed_merge
 from waybill.operators.quality import all_checks_passed
-from waybill.plans.monitoring import (
-    freshness, not_empty_check, run_record, table_observability, validate_route_ids,
-)
+from waybill.plans.monitoring import not_empty_check, run_record, table_health, validate_route_ids
 from waybill.plans.serving import latest_positions, route_activity_summary
 from waybill.schemas import ROUTE_SUMMARY
-from waybill.session import hand_over
 from waybill.sources.sinks import append_metrics, read_merged, write_merged
 
 
-def refresh(events: DataFrame, root: str, now: datetime | None = None) -> DataFrame:
+def refresh(
+    events: DataFrame, root: str, now: datetime | None = None, latest: DataFrame | None = None
+) -> DataFrame:
     """Bring the route summary below ``root`` up to date and record the run.
 
-    Steps: latest positions, summary merged over the stored one, checks on the summary,
-    freshness and observability of the event table, run record. Stale data is reported, not
-    an error; an empty summary or a blank route id stops the run after recording it.
+    Steps: summary of the stored ``latest`` positions merged over the stored summary, checks on
+    it, freshness and observability of the event table in one pass over three of its columns,
+    run record. Without ``latest`` the positions are found in all events. Stale data is
+    reported, not an error; an empty summary or a blank route id stops the run after recording
+    it.
     """
-    spark = events.sparkSession
-    events = hand_over(events)  # three steps read it
     start = datetime.now(timezone.utc)
+    spark = events.sparkSession
     now = now or start
     summary_path = f"{root}/route_activity_summary"
 
-    updates = route_activity_summary(latest_positions(events), now)
+    current = latest if latest is not None else latest_positions(events)
+    updates = route_activity_summary(current, now)
     stored = read_merged(spark, summary_path, ROUTE_SUMMARY)
     version = write_merged(keyed_merge(stored, updates, ["route_id"], OVERWRITE), summary_path)
     summary = read_merged(spark, summary_path, ROUTE_SUMMARY, before=version + 1)
@@ -43,8 +44,9 @@ def refresh(events: DataFrame, root: str, now: datetime | None = None) -> DataFr
     )
     results = validate_route_ids(summary).unionByName(filled)
     passed = all_checks_passed(results)
-    append_metrics(freshness(events, now), f"{root}/freshness")
-    append_metrics(table_observability(events, "vehicle_positions"), f"{root}/data_quality_metrics")
+    observed, fresh = table_health(events, "vehicle_positions", now)
+    append_metrics(fresh, f"{root}/freshness")
+    append_metrics(observed, f"{root}/data_quality_metrics")
     end = datetime.now(timezone.utc)
     append_metrics(run_record("route_activity_refresh", start, end, summary, passed), f"{root}/runs")
     if not passed:

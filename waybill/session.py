@@ -7,10 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Plans whose estimated size stays below this are small enough for one task
-# per group; above it the operators count their groups before choosing a plan.
-SMALL_PLAN_BYTES = 256 * 1024 * 1024
-
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -42,15 +38,6 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Spark's size estimate of ``df`` from its inputs; runs no job and no optimization."""
-    return int(df._jdf.queryExecution().analyzed().stats().sizeInBytes())
-
-
-def is_small(df: DataFrame, limit: int = SMALL_PLAN_BYTES) -> bool:
-    return planned_bytes(df) <= limit
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -81,10 +68,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def hand_over(df: DataFrame) -> DataFrame:
-    """For a result that is read more than once: large ones go through a table in the shared
-    folder, small ones are left to be computed again."""
-    if is_small(df):
-        return df
+    """``df`` stored as a table in the shared folder, for a result that is read more than once."""
     path = scratch_path(df.sparkSession, "handover")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from waybill.session import is_small
-
 
 def table_scan(
     spark: SparkSession, path: str, schema: StructType | None = None, required: tuple[str, ...] = ()
@@ -31,12 +29,10 @@ def jdbc_scan(spark: SparkSession, table: str, options: dict[str, str]) -> DataF
     return spark.read.format("jdbc").options(**options).option("dbtable", table).load()
 
 
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Give a small table that sits in few files to all cores; a large one is split by its scan.
+def spread_files(df: DataFrame, key: str) -> DataFrame:
+    """Give a table that sits in fewer files than there are cores to all cores.
 
     One file with one row group is one task, however many cores are idle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if is_small(df) and len(df.inputFiles()) < cores:
-        return df.repartition(cores, key)
-    return df
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df

@@ -1,13 +1,16 @@
 """Structured Streaming jobs; every one is restartable from its checkpoint.
 
 ``trigger`` takes the keyword arguments of ``DataStreamWriter.trigger``. Batches may be
-replayed after a failure, so whatever a batch writes carries the batch number and replaces
-itself.
+replayed after a failure, and a query may start anew, with batch numbers from 0, on output
+that another has written. So whatever a batch writes carries the query's identity (that of
+its checkpoint) and the batch number; it replaces itself and nothing else.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -20,7 +23,7 @@ from waybill.operators.events import (
 from waybill.operators.merge import NOT_OLDER, keyed_merge, not_yet_stored
 from waybill.plans.serving import latest_positions
 from waybill.schemas import LATEST_POSITIONS
-from waybill.sources.sinks import read_merged, write_jdbc, write_merged
+from waybill.sources.sinks import read_merged, write_batch, write_jdbc, write_merged
 
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}  # fixed default of the jobs
 HISTORY_COLUMNS = [name for name in LATEST_POSITIONS.fieldNames() if name != "updated_at"]
@@ -34,6 +37,14 @@ def _start(writer: DataStreamWriter, checkpoint: str, trigger: dict | None) -> S
     )
 
 
+def batch_source(batch: DataFrame, batch_id: int) -> str:
+    """Which batch of which query this is; stays the same when the batch is replayed."""
+    query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        raise RuntimeError("a batch can only be written from within its streaming query")
+    return f"{query}.{batch_id}"
+
+
 def console(df: DataFrame, checkpoint: str, mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
     """Print a stream, for inspection."""
     writer = df.writeStream.format("console").outputMode(mode).option("truncate", "false")
@@ -79,11 +90,10 @@ def latest_vehicle_state(events: DataFrame) -> DataFrame:
 def keyed_stream(
     aggregated: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write the changed rows of an aggregated stream, one folder per batch."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return _start(aggregated.writeStream.outputMode("update").foreachBatch(write), checkpoint, trigger)
+    """Write the changed rows of an aggregated stream, one folder per batch. Of the rows of a
+    key the one with the largest ``write`` is the newest (``sinks.read_batches``)."""
+    writer = aggregated.writeStream.outputMode("update").foreachBatch(folder_writer(path))
+    return _start(writer, checkpoint, trigger)
 
 
 # -- files ----------------------------------------------------------------------------
@@ -142,7 +152,8 @@ def quality_stream(
 ) -> StreamingQuery:
     """Valid events to ``silver``, refused ones with their reason to ``quarantine``.
 
-    One query: each batch is read and parsed once, then written to both places.
+    One query: each batch is read and parsed once, then written to both places. Readers use
+    ``sinks.read_batches``, which leaves out what isn't complete.
     """
     validated = with_validation_error(parse_events(kafka_decode(records), keep_raw=True))
 
@@ -150,10 +161,9 @@ def quality_stream(
         batch.persist()
         try:
             valid, refused = split_valid(batch)
-            _by_day(valid).write.mode("overwrite").partitionBy("event_date").parquet(
-                f"{silver}/batch_id={batch_id}"
-            )
-            refused.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+            source = batch_source(batch, batch_id)
+            write_batch(_by_day(valid), silver, source, ("event_date",))
+            write_batch(refused, quarantine, source)
         finally:
             batch.unpersist()
 
@@ -163,9 +173,9 @@ def quality_stream(
 # -- tables ---------------------------------------------------------------------------
 
 def folder_writer(path: str) -> BatchWriter:
-    """Append to Parquet, a folder per batch; a replayed batch replaces its folder."""
+    """Append to Parquet, a folder per batch of a query; a replayed batch replaces its folder."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        write_batch(batch, path, batch_source(batch, batch_id))
 
     return write
 
@@ -173,18 +183,23 @@ def folder_writer(path: str) -> BatchWriter:
 def database_writer(table: str, options: dict[str, str]) -> BatchWriter:
     """Append to a database table, leaving out rows whose partition and offset it has.
 
-    The stored keys are looked up only within the batch's offset range, and the filter runs
-    in the database.
+    The stored keys are looked up only within the batch's offset range of each partition, and
+    the filter runs in the database. The batch is computed once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        span = batch.agg(F.min("kafka_offset"), F.max("kafka_offset")).first()
-        if span[0] is None:
-            return
-        stored = (
-            batch.sparkSession.read.format("jdbc").options(**options).option("dbtable", table).load()
-            .filter(F.col("kafka_offset").between(span[0], span[1]))
-        )
-        write_jdbc(not_yet_stored(batch, stored, ["kafka_partition", "kafka_offset"]), table, options)
+        batch.persist()
+        try:
+            spans = batch.groupBy("kafka_partition").agg(F.min("kafka_offset"), F.max("kafka_offset")).collect()
+            if not spans:
+                return
+            within = [(F.col("kafka_partition") == p) & F.col("kafka_offset").between(low, high) for p, low, high in spans]
+            stored = (
+                batch.sparkSession.read.format("jdbc").options(**options).option("dbtable", table).load()
+                .filter(reduce(or_, within))
+            )
+            write_jdbc(not_yet_stored(batch, stored, ["kafka_partition", "kafka_offset"]), table, options)
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -209,19 +224,25 @@ def latest_stream(
 ) -> StreamingQuery:
     """Current position per vehicle, merged batch by batch if not older than what is stored.
 
-    Batch ``n`` reads the newest version below ``n`` and writes version ``n``; a replay
-    starts from the same state. A batch without valid events leaves the state as it is.
+    A batch reads the newest version and writes the next, which records query and batch; a
+    replay of a batch that a version records already does nothing. A batch without valid
+    events leaves the state as it is. Old versions stay for their readers until
+    ``sinks.expire_versions`` is called.
     """
     events = streaming_silver(parse_events(kafka_decode(records)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        state = read_merged(batch.sparkSession, state_path, LATEST_POSITIONS, before=batch_id)
-        merged = keyed_merge(
-            state, latest_positions(batch), ["vehicle_id"], NOT_OLDER, time="vehicle_timestamp"
-        )
-        write_merged(merged, state_path, version=batch_id)
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            state = read_merged(batch.sparkSession, state_path, LATEST_POSITIONS)
+            merged = keyed_merge(
+                state, latest_positions(batch), ["vehicle_id"], NOT_OLDER, time="vehicle_timestamp"
+            )
+            write_merged(merged, state_path, source=batch_source(batch, batch_id))
+        finally:
+            batch.unpersist()
 
     return _start(events.writeStream.foreachBatch(write), checkpoint, trigger)
 
