@@ -13,10 +13,12 @@ The boundary minimises the estimated number of postings and list entries read (`
 Element frequencies come from a fixed-size count sketch over all documents. They only order the
 elements: any order gives the same links.
 
-Links are not listed pair by pair. Equal sets are one class. In every list, members of like size are
-first compared with two chosen members; what links falls together. Only then are members of
-*different* groups in a list compared, all of them, so no link between groups is lost, while a list
-of thousands of near copies costs a few comparisons each. Every comparison is exact on whole sets.
+Links are not listed pair by pair. Equal sets are one class. Every document is first compared with
+two chosen among those of like size in its lists; what links falls together. Only then are members of
+*different* groups in a list compared, all of them, so no link between groups is lost. Pairs are
+enumerated in lists of up to ``LONG_LIST`` members only; the documents of longer lists are compared
+block by block inside tasks, which return links that connect, not pairs. Every comparison is exact on
+whole sets.
 
 Defined cases: a null, empty or separator-only text has an empty set, links with nothing and is its own
 component. Fewer words than a shingle make one element of the whole sequence. Rows that repeat a
@@ -34,13 +36,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waybill.llm.components import components
-from waybill.llm.tables import forget, keep, may_contain, membership, summed
+from waybill.llm.tables import forget, keep, may_contain, membership, release, summed
 from waybill.llm.words import WHITE_SPACE, flat_bytes, gram_hashes, lists, mix, row_chunks, text_of, word_hashes
 
 SHINGLE = 5
 SUBSET = 2
 PERCENT = 75
 SKETCH_BITS = 20
+STAR_SHARE = 4  # one list in so many serves the first comparisons
+LONG_LIST = 64  # beyond so many members a list's documents are compared block by block
+BLOCK_SETS = 1024
+BLOCK_ELEMENTS = 500_000
 LIGHT_LIMIT = 64  # sizes for which a boundary is considered
 _U = np.uint64
 
@@ -188,67 +194,118 @@ def _alike(a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs (id, other, a, b), the (a, b) whose sets link."""
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of pairs (id, other, a, b), the stored (a, b) whose sets link. Only sets in a pair are moved."""
+    pairs = keep(pairs, "pairs")
+    sets = keep(_candidate_sets(docs, pairs.select("id").union(pairs.select("other")).distinct()), "sets")
     first = sets.select("id", F.col("elements").alias("x"))
     second = sets.select(F.col("id").alias("other"), F.col("elements").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    return (
+    links = keep(
         pairs.join(first, "id").join(second, "other")
         .filter(common * 100 >= PERCENT * (F.size("x") + F.size("y") - common))
-        .select("a", "b").distinct()
-    )
-
-
-def _star_pairs(grouped: DataFrame) -> DataFrame:
-    """Members of a list and size band against two members chosen by hash, from other groups."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3)))
-    members = grouped.withColumn("band", band)
-    chosen = members.groupBy("key", "band").agg(
-        F.count(F.lit(1)).alias("c"),
-        F.array_distinct(F.array(*(F.min(F.struct(F.xxhash64("id", F.lit(seed)), "id", "n", "root")) for seed in (1, 2)))).alias("picks"),
-    ).filter("c > 1").select("key", "band", F.explode("picks").alias("p"))
-    chosen = chosen.select("key", "band", F.col("p.id").alias("other"), F.col("p.n").alias("m"), F.col("p.root").alias("b"))
+        .select("a", "b").distinct(), "links")
+    forget(pairs, sets)
+    release(docs.sparkSession)
+    return links
+
+
+def _star_pairs(members: DataFrame) -> DataFrame:
+    """Every document against two others, chosen by hash among those of like size in its lists.
+
+    Members of a group of near copies choose the same few, so most of the group falls together. This
+    only spares later comparisons, so a part of the lists (``STAR_SHARE``) is enough.
+    """
+    lists_used = members.filter(F.pmod(F.xxhash64("key", F.lit("star")), F.lit(STAR_SHARE)) == 0)
+    banded = lists_used.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3))))
+    picks = [F.min(F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id", "n")) for seed in (1, 2)]
+    chosen = banded.groupBy("key", "band").agg(F.count(F.lit(1)).alias("c"), F.array(*picks).alias("picks")).filter("c > 1")
+    chosen = chosen.select("key", "band", F.explode("picks").alias("p")).select(
+        "key", "band", F.col("p.h").alias("h"), F.col("p.id").alias("other"), F.col("p.n").alias("m")).distinct()
+    met = banded.select("key", "band", "id", "n").join(chosen, ["key", "band"]).filter((F.col("id") != F.col("other")) & _alike("n", "m"))
+    # linked sets share more than a tenth of their elements in their lists; few shared lists are a passage
+    shared = met.groupBy("id", "other", "n", "h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") * 20 * STAR_SHARE >= F.col("n"))
     return (
-        members.join(chosen, ["key", "band"]).filter((F.col("root") != F.col("b")) & _alike("n", "m"))
-        .select("id", "other", F.col("root").alias("a"), "b").distinct()
+        shared.groupBy("id").agg(F.max_by("other", F.struct("c", "h")).alias("p1"), F.min_by("other", "h").alias("p2"))
+        .select("id", F.explode(F.array_distinct(F.array("p1", "p2"))).alias("other"))
+        .select("id", "other", F.col("id").alias("a"), F.col("other").alias("b"))
     )
 
 
-def _cross_pairs(grouped: DataFrame, boundary: int) -> DataFrame:
-    """All members of different groups that meet in a list and share enough of its kind."""
-    groups = grouped.groupBy("key", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    left = groups.select("key", F.col("root").alias("a"), F.col("least").alias("a_least"), F.col("most").alias("a_most"))
-    right = groups.select("key", F.col("root").alias("b"), F.col("least").alias("b_least"), F.col("most").alias("b_most"))
-    meeting = left.join(right, "key").filter(
-        (F.col("a") < F.col("b")) & (F.col("a_least") * PERCENT <= F.col("b_most") * 100)
-        & (F.col("b_least") * PERCENT <= F.col("a_most") * 100)).select("key", "a", "b")
-    one = grouped.select("key", F.col("root").alias("a"), "id", "n")
-    two = grouped.select("key", F.col("root").alias("b"), F.col("id").alias("other"), F.col("n").alias("m"))
+def _cross_pairs(short: DataFrame, boundary: int) -> DataFrame:
+    """Pairs from different groups that meet in lists of at most ``LONG_LIST`` members and share enough."""
+    one = short.select("key", "id", "n", F.col("root").alias("a"))
+    two = short.select("key", F.col("id").alias("other"), F.col("n").alias("m"), F.col("root").alias("b"))
     larger = F.greatest("n", "m")
-    # a pair shares at most its common list elements and what lies behind the longer prefix
+    # a pair shares at most its common list elements and what lies behind the longer prefix; one that
+    # shares a long list too is compared there
     enough = (larger <= boundary) | (
         F.col("shared") + F.ceil(larger * PERCENT / 100) - 1 >= F.ceil((F.col("n") + F.col("m")) * PERCENT / (100 + PERCENT)))
     return (
-        meeting.join(one, ["key", "a"]).join(two, ["key", "b"]).filter(_alike("n", "m"))
+        one.join(two, "key").filter((F.col("id") < F.col("other")) & (F.col("a") != F.col("b")) & _alike("n", "m"))
         .groupBy("id", "other", "a", "b", "n", "m").agg(F.count(F.lit(1)).alias("shared"))
         .filter(enough).select("id", "other", "a", "b")
     )
 
 
-def _grouped(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _linked_in_block(table: pa.Table) -> pa.Table:
+    """Links (a, b) that connect what is linked among the documents of one or two blocks."""
+    ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
+    elements = table.column("elements").combine_chunks()
+    sizes = np.diff(elements.offsets.to_numpy())
+    _, element = np.unique(elements.flatten().to_numpy(), return_inverse=True)
+    owner = np.repeat(np.arange(len(ids)), sizes)
+    order = np.argsort(element, kind="stable")
+    holders, begins = owner[order], np.searchsorted(element[order], np.arange(element.max(initial=-1) + 2))
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    across = len(np.unique(block)) > 1
+    root, links = np.arange(len(ids)), []
+    for i in np.flatnonzero(block == block.max()) if across else range(len(ids)):
+        mine = element[bounds[i] : bounds[i + 1]]
+        met = np.concatenate([holders[begins[e] : begins[e + 1]] for e in mine]) if len(mine) else np.zeros(0, np.int64)
+        common = np.bincount(met, minlength=len(ids))
+        linked = common * 100 >= PERCENT * (sizes[i] + sizes - common)
+        if across:
+            linked &= block != block[i]
+        for j in np.flatnonzero(linked & (root != root[i])):
+            if root[j] != root[i]:
+                links.append((ids[i], ids[j]))
+                root[root == root[j]] = root[i]
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def _block_links(docs: DataFrame, long: DataFrame) -> DataFrame:
+    """Stored links among the members of long lists. Lists that share members form a heap; its
+    documents are dealt over blocks of bounded size, and every two blocks of a heap meet in one task,
+    which returns no more links than it has documents."""
+    first = long.groupBy("key").agg(F.min("id").alias("b"))
+    heaps = components(long.join(first, "key").select(F.col("id").alias("a"), "b"))
+    members = long.select("id", "n").distinct().join(heaps.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "n", F.coalesce("root", "id").alias("heap"))
+    sizes = members.groupBy("heap").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    placed = keep(members.join(sizes, "heap").select(
+        "id", "heap", "blocks", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int").alias("block")).distinct(), "blocks")
+    sets = keep(_candidate_sets(docs, placed.select("id")), "sets")
+    met = placed.join(sets, "id").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    links = keep(
+        met.groupBy("heap", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+        .applyInArrow(lambda table: _linked_in_block(table), "a long, b long"), "links")
+    forget(placed, sets)
+    release(docs.sparkSession)
+    return links
+
+
+def _grouped(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members with their group so far; lists that lie within one group are left out."""
-    if roots is None:
-        rooted = members.withColumn("root", F.col("id"))
-    else:
-        rooted = members.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").withColumn(
-            "root", F.coalesce("root", "id"))
+    rooted = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
-    return rooted.join(mixed, "key")
+    return rooted.join(mixed, "key").select("key", "id", "n", "root")
 
 
 def similarity_groups(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest linked doc_id)."""
+    spark = docs.sparkSession
     digests = keep(_digests(docs), "digests")
     sketch = summed(digests.filter("sketch is not null").select("sketch"), np.uint32)
     rows = digests.filter("sketch is null").drop("sketch")
@@ -260,11 +317,17 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     reps = classes.select(F.col("rep").alias("id")).distinct()
     members = keep(shared.join(reps, "id", "left_semi"), "members")
     forget(prefixes)
-    sets = keep(_candidate_sets(docs, members.select("id").distinct()), "sets")
-
-    edges = keep(_verified(_star_pairs(_grouped(members, None)), sets), "links")
-    edges_too = keep(_verified(_cross_pairs(_grouped(members, components(edges)), boundary), sets), "links")
-    roots = components(edges.union(edges_too))
+    release(spark)
+    edges = _verified(docs, _star_pairs(members))
+    grouped = keep(_grouped(members, components(edges)), "grouped")
+    forget(members)
+    counts = grouped.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    short = grouped.join(counts.filter(F.col("c") <= LONG_LIST).select("key"), "key", "left_semi")
+    long = grouped.join(counts.filter(F.col("c") > LONG_LIST).select("key"), "key", "left_semi")
+    short_links = _verified(docs, _cross_pairs(short, boundary))
+    long_links = _block_links(docs, long)
+    forget(grouped)
+    roots = components(edges.union(short_links).union(long_links))
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         "n", "high", "low", F.coalesce("root", "rep").alias("component_id"))
     return rows.join(named, ["n", "high", "low"], "left").select(

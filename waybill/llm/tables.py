@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,13 @@ def forget(*kept: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of finished steps, which it does when the driver
+    collects its garbage; a long job would otherwise hold the files of all its steps."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def summed(parts: DataFrame, dtype, join=np.add) -> np.ndarray | None:
     """Element-wise sum of equally long arrays, one binary row a partition, through a tree.
 
