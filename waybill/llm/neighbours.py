@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from waybill.llm.tables import forget, keep, release
 
-DEGREE = 30
-INCOMING = 30
+DEGREE = 45
+INCOMING = 45
 BLOCK = 256
 TABLES = 4
 ROUNDS = 6
 ENTRIES = 1024
-BEAM = 128
-WIDTH = 12
+BEAM = 192
+WIDTH = 16
 STEPS = 24
 
 
