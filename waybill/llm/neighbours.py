@@ -207,7 +207,7 @@ def build(vectors: DataFrame, vector: str = "embedding", rounds: int = ROUNDS, s
 
 def _starts(queries: DataFrame, entries: list) -> DataFrame:
     ids = np.array([r["node"] for r in entries], np.int64)
-    points = np.frombuffer(b"".join(bytes(r["unit"]) for r in entries), np.float32).reshape(len(entries), -1)
+    points = np.array([np.frombuffer(bytes(r["unit"]), np.float32) for r in entries], np.float32)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
