@@ -168,8 +168,9 @@ def _postings(prefixes: DataFrame, boundary: int) -> DataFrame:
 
 
 def _shared_postings(postings: DataFrame) -> DataFrame:
-    """Postings of keys that more than one document has."""
-    shared = postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    """Postings of keys that more than one document has. The keys are stored first: a join whose
+    two sides come straight from their shuffles is one that Spark splits at a hot key."""
+    shared = keep(postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"), "keys")
     return postings.join(shared, "key")
 
 
@@ -299,7 +300,7 @@ def _block_links(docs: DataFrame, long: DataFrame) -> DataFrame:
 def _grouped(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members with their group so far; lists that lie within one group are left out."""
     rooted = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
+    mixed = keep(rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key"), "keys")
     return rooted.join(mixed, "key").select("key", "id", "n", "root")
 
 
@@ -321,7 +322,7 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     edges = _verified(docs, _star_pairs(members))
     grouped = keep(_grouped(members, components(edges)), "grouped")
     forget(members)
-    counts = grouped.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    counts = keep(grouped.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "counts")
     short = grouped.join(counts.filter(F.col("c") <= LONG_LIST).select("key"), "key", "left_semi")
     long = grouped.join(counts.filter(F.col("c") > LONG_LIST).select("key"), "key", "left_semi")
     short_links = _verified(docs, _cross_pairs(short, boundary))

@@ -22,6 +22,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from waybill.llm.tables import keep
+
 HEAD, TAIL = "<|{role}|>\n", "<|end|>\n"
 ANSWERING = "assistant"
 
@@ -40,7 +42,8 @@ def pairs_by_opening(turns: DataFrame) -> DataFrame:
     opening = F.sha2(F.concat_ws("\n", F.col("turns")[0]["role"], F.col("turns")[0]["text"]), 256)
     whole = conversations(turns).withColumn("opening", opening)
     firsts = whole.groupBy("opening").agg(F.min("conv_id").alias("chosen_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rejected = whole.join(firsts.drop("n"), "opening").filter("conv_id != chosen_id").select(
+    # stored, so that the join is of two plain shuffles and a hot opening can be split
+    rejected = whole.join(keep(firsts.drop("n"), "openings"), "opening").filter("conv_id != chosen_id").select(
         "chosen_id", F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
     chosen = whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))
     return rejected.join(chosen, "chosen_id").filter(~F.col("chosen").eqNullSafe(F.col("rejected")))
