@@ -61,3 +61,27 @@ def test_few_vectors(spark, size):
     table = spark.createDataFrame([(50 * i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = found(neighbours.nearest(table, lambda v: v % 50 == 0).collect())
     assert {q: len(g) for q, g in got.items()} == ({50 * i: size - 1 for i in range(size)} if size > 1 else {})
+
+
+def test_rounds_go_on_until_settled(spark):
+    x = np.random.default_rng(4).standard_normal((900, 32))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    changed = neighbours.build(table).changed
+    assert changed[-1] < neighbours.SETTLED and all(c >= neighbours.SETTLED for c in changed[:-1])
+    with pytest.warns(RuntimeWarning, match="not settled"):
+        assert len(neighbours.build(table, rounds=1).changed) == 1
+
+
+def test_blocks_stay_as_fine_on_large_tables():
+    assert [neighbours._bits(n) for n in (2, 1 << 14, 1 << 20, 1 << 30)] == [1, 7, 13, 23]
+
+
+def test_search_goes_on_until_nothing_is_left(spark):
+    """On a path of nodes each step reaches one more; the query is at the far end of it."""
+    turn = np.linspace(0, np.pi / 2, 28)
+    units = [v.tobytes() for v in np.column_stack([np.cos(turn), np.sin(turn)]).astype(np.float32)]
+    nodes = spark.createDataFrame(list(enumerate(units)), "node long, unit binary")
+    edges = spark.createDataFrame([(a, b) for a in range(28) for b in (a - 1, a + 1) if 0 <= b < 28], "node long, other long")
+    index = neighbours.Index(nodes, nodes.limit(0), edges, 1 << 40, [])  # so many that no node is an entry
+    queries = spark.createDataFrame([(0, units[-1], 0)], "q long, unit binary, own long")
+    assert max((r["sim"], r["node"]) for r in neighbours.search(index, queries).collect())[1] == 27

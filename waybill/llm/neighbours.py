@@ -4,15 +4,17 @@ Equal vectors are one node. A node's first neighbours are the best in small bloc
 signs under random projections. Then rounds of NN-descent: every node introduces its neighbours,
 and those it is a neighbour of, to each other; pairs of which one is new are compared, and each node
 keeps its ``DEGREE`` best. A round is a join of edges with vectors, a local comparison per node, and
-a join of what improves. Rounds end when few edges change.
+a join of what improves. Rounds go on until fewer than ``SETTLED`` of the edges change; a caller's limit
+on them that ends them sooner is warned of. Sign bits grow with the number of vectors, so that blocks stay as fine.
 
 A search keeps the best ``BEAM`` nodes found for each query, starting from a bounded, broadcast sample
 of entry nodes and from the query's own node if it is in the index. Each step expands the best
-nodes not yet expanded, over edges in both directions, until none is left. Scores of what was found are
+nodes not yet expanded, over edges in both directions, until no query has any left. Scores of what was found are
 computed again from the original vectors in double precision.
 
 A hub is the neighbour of very many nodes: of its incoming edges each round uses its ``INCOMING`` best,
-the others still work from their own end. Blocks are split by hash to about ``BLOCK`` rows.
+the others still work from their own end. Blocks are split by hash to about ``BLOCK`` rows; the codes of
+those that need it are a stored table, joined to rows without their vectors.
 
 Defined cases: vectors that are null, zero, hold null or non-finite components or don't have the commonest
 length take no part, nor do null ids. Rows that repeat an id are candidates for each of its vectors
@@ -22,6 +24,7 @@ columns are ignored. Empty tables give empty results; with fewer candidates than
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +37,10 @@ DEGREE = 45
 INCOMING = 45
 BLOCK = 256
 TABLES = 4
-ROUNDS = 6
+SETTLED = 0.01
 ENTRIES = 1024
 BEAM = 192
 WIDTH = 16
-STEPS = 24
 
 
 def _stack(column: pa.Array) -> np.ndarray:
@@ -88,8 +90,13 @@ def _top(edges: DataFrame, count: int = DEGREE) -> DataFrame:
     return one.withColumn("rank", rank).filter(F.col("rank") <= count).drop("rank")
 
 
+def _bits(total: int) -> int:
+    """Sign bits of a code: about half a block of vectors share one, however many there are."""
+    return max(1, int(np.log2(max(total, 2) / (BLOCK / 2))))
+
+
 def _first_edges(nodes: DataFrame, total: int, size: int) -> DataFrame:
-    bits = int(np.clip(np.log2(max(total, 2) / (BLOCK / 2)), 1, 12))
+    bits = _bits(total)
     planes = np.random.default_rng(5).standard_normal((TABLES, size, bits)).astype(np.float32)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,11 +104,10 @@ def _first_edges(nodes: DataFrame, total: int, size: int) -> DataFrame:
             if not len(batch):
                 continue
             signs = np.einsum("nd,tdb->tnb", _stack(batch.column("unit")), planes) > 0
-            codes = (signs @ (1 << np.arange(bits))).astype(np.int32)
+            codes = signs @ (1 << np.arange(bits, dtype=np.int64))
             for t in range(TABLES):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(batch), t, np.int32)), pa.array(codes[t]), batch.column("node"), batch.column("unit")],
-                    ["t", "code", "node", "unit"])
+                    [pa.array(np.full(len(batch), t, np.int32)), pa.array(codes[t]), batch.column("node")], ["t", "code", "node"])
 
     def compare(key, table):
         ids, x = table.column("node").to_numpy(), _stack(table.column("unit"))
@@ -112,11 +118,16 @@ def _first_edges(nodes: DataFrame, total: int, size: int) -> DataFrame:
         return pa.table({"node": np.repeat(ids, count), "other": ids[best].reshape(-1).astype(np.int64),
                          "sim": np.take_along_axis(near, best, 1).reshape(-1).astype(np.float32)})
 
-    coded = nodes.select("node", "unit").mapInArrow(code, "t int, code int, node long, unit binary")
-    sizes = coded.groupBy("t", "code").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))  # TABLES * 2**bits rows at most
-    split = coded.join(F.broadcast(sizes), ["t", "code"]).withColumn("part", F.pmod(F.xxhash64("node", "t"), F.col("parts")).cast("int"))
+    coded = keep(nodes.select("unit", "node").mapInArrow(code, "t int, code long, node long"), "codes")
+    parts = F.ceil(F.count(F.lit(1)) / BLOCK).cast("int")
+    large = keep(coded.groupBy("t", "code").agg(parts.alias("parts")).filter("parts > 1"), "large")
+    part = F.pmod(F.xxhash64("node", "t"), F.coalesce("parts", F.lit(1))).cast("int")
+    placed = coded.join(large, ["t", "code"], "left").select("t", "code", "node", part.alias("part"))
+    split = placed.join(nodes.select("node", "unit"), "node")
     found = split.groupBy("t", "code", "part").applyInArrow(compare, "node long, other long, sim float")
-    return _top(found.withColumn("fresh", F.lit(True)))
+    graph = keep(_top(found.withColumn("fresh", F.lit(True))), "graph")
+    forget(coded, large)
+    return graph
 
 
 def _both_ways(graph: DataFrame) -> DataFrame:
@@ -176,12 +187,13 @@ def _introduced(graph: DataFrame, nodes: DataFrame) -> DataFrame:
 class Index:
     """A stored neighbour graph over a stored table of vectors."""
 
-    def __init__(self, nodes: DataFrame, members: DataFrame, edges: DataFrame, total: int):
+    def __init__(self, nodes: DataFrame, members: DataFrame, edges: DataFrame, total: int, changed: list[float]):
         self.nodes, self.members, self.edges, self.total = nodes, members, edges, total
+        self.changed = changed  # share of the edges that each round changed
 
 
-def build(vectors: DataFrame, vector: str = "embedding", rounds: int = ROUNDS, settled: float = 0.01) -> Index:
-    """Graph of all vectors (vec_id, ``vector``) that take part."""
+def build(vectors: DataFrame, vector: str = "embedding", rounds: int | None = None, settled: float = SETTLED) -> Index:
+    """Graph of all vectors (vec_id, ``vector``) that take part; ``rounds`` may limit the rounds."""
     spark = vectors.sparkSession
     rows = keep(_prepared(vectors, vector), "vectors")
     values = rows.groupBy("raw").agg(F.first("unit").alias("unit"))
@@ -190,19 +202,22 @@ def build(vectors: DataFrame, vector: str = "embedding", rounds: int = ROUNDS, s
     forget(rows)
     total = nodes.count()
     size = len(nodes.first()["unit"]) // 4 if total else 0
-    graph = keep(_first_edges(nodes, total, size), "graph")
-    for _ in range(rounds if total > 1 else 0):
+    graph = _first_edges(nodes, total, size)
+    changed: list[float] = []
+    while total > 1 and (not changed or changed[-1] >= settled):  # ends: a node's edges only ever get better
+        if len(changed) == rounds:
+            warnings.warn(f"neighbour graph not settled: {rounds} rounds done, the last changed {changed[-1:]} of the edges", RuntimeWarning)
+            break
         release(spark)
         found = _introduced(graph, nodes).withColumn("fresh", F.lit(True))
         after = keep(_top(found.unionByName(graph.withColumn("fresh", F.lit(False)))), "graph")
         forget(graph)
         graph = after
-        if graph.filter("fresh").count() < settled * DEGREE * total:
-            break
+        changed.append(graph.filter("fresh").count() / (DEGREE * total))
     edges = keep(_both_ways(graph).select("node", "other"), "edges")
     forget(graph)
     release(spark)
-    return Index(nodes, members, edges, total)
+    return Index(nodes, members, edges, total, changed)
 
 
 def _starts(queries: DataFrame, entries: list) -> DataFrame:
@@ -248,9 +263,7 @@ def search(index: Index, queries: DataFrame) -> DataFrame:
     chosen = index.nodes.filter(F.pmod(F.xxhash64("node", F.lit("entry")), F.lit(steps)) < int(share * steps) + (share == 1.0))
     beam = keep(_beam(_starts(queries, chosen.select("node", "unit").collect())), "beam")
     vectors, asked = index.nodes.select("node", F.col("unit").alias("y")), queries.select("q", F.col("unit").alias("x"))
-    for _ in range(STEPS):
-        if beam.filter("now").isEmpty():
-            break
+    while not beam.filter("now").isEmpty():
         met = beam.filter("now").select("q", "node").join(index.edges, "node").select("q", F.col("other").alias("node")).distinct()
         unseen = met.join(beam.select("q", "node"), ["q", "node"], "left_anti")
         found = _cosines(unseen.join(vectors, "node").join(asked, "q")).withColumn("done", F.lit(False))
