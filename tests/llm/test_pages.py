@@ -142,6 +142,30 @@ def test_rendering(html, text):
     assert rendering.render(html) == text
 
 
+@pytest.mark.parametrize("tag, shown", [
+    ('div style="overflow: hidden"', True), ('div class="hidden"', True), ('div title="Hidden gems"', True), ("div class='a hidden b'", True),
+    ("div data-hidden", True), ("div class=hidden", True), ('div aria-hidden="true"', True), ('div data-style="display:none"', True),
+    ('div title="style=display:none"', True), ('div style="--display: none; backface-visibility: hidden"', True),
+    ('div style="/* display:none */ color:red"', True), ("div style=\"background:url(a;display:none)\"", True),
+    ('div style="display:none; display:block"', True), ("div hidden", False), ('div class="a"HIDDEN', False), ('div hidden=""', False),
+    ("div hidden=until-found", False), ("div style=display:none", False), ('div STYLE="color:red;DISPLAY : None !important"', False),
+    ("div style='display:none!important;display:block'", False), ('div style="visibility:hidden"', False), ('div style="display&#58;none"', False),
+])
+def test_only_hiding_attributes_hide(tag, shown):
+    assert rendering.render(f"a<{tag}>kept <b>whole</b></div>b") == ("a\nkept whole\nb" if shown else "a\nb" if "visibility" in tag else "ab")
+
+
+def test_visible_again_within_hidden():
+    assert rendering.render('<p style="visibility:hidden">no <b style="visibility:visible">yes</b> no') == "yes"
+    assert rendering.render('<table><tr style="visibility:collapse"><td>no<td>no<tr><td>a<td>b</table>') == "a | b"
+
+
+@pytest.mark.parametrize("part", ["a='", 'a="', "a ", "=", "(", "style='", "/*"])
+def test_hostile_attributes_take_linear_time(part):
+    rendering.render(f"<p style=\"{part * 20000}\" hidden>x")
+    rendering.render(f"<p {part * 20000} style>x")
+
+
 class Words(HTMLParser):
     """All words outside elements that are never shown."""
 

@@ -3,8 +3,9 @@
 A page's tags become a tree: end tags that HTML lets authors leave out are implied (a paragraph ends
 where a block begins, an item where the next begins, and so on), stray end tags are ignored, open
 elements end with their parent. Elements that a browser doesn't show (head, script, style, template,
-``hidden``, ``display:none``, ``visibility:hidden``) are left out with all they hold. Of the rest all
-text is emitted: blocks on lines of their own, a blank line around paragraphs and headings, list items
+an attribute named ``hidden``, the style declaration ``display:none``) are left out with all they hold; of
+``visibility:hidden`` all but the descendants that are ``visible`` again. Style sheets and classes aren't
+followed. Of the rest all text is emitted: blocks on lines of their own, a blank line around paragraphs and headings, list items
 with marks and indents, preformatted text as it is, table cells in aligned columns (``MAX_CELL``: wider
 cells don't widen their column).
 
@@ -47,8 +48,10 @@ IMPLIED = {
 }
 _TAG = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
 _PLAIN_TAG = re.compile(r"""<!--(?:.*?-->|.*)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
-_HIDING = re.compile(r"""(?:^|[\s"'/])hidden(?![\w-])|style\s*=\s*(?:"[^"]*|'[^']*|[^\s>]*)(?:display\s*:\s*none|visibility\s*:\s*hidden)""", re.I)
-_TYPE_HIDDEN = re.compile(r"""type\s*=\s*["']?hidden""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
+_MAY_HIDE = re.compile("hidden|style", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_DECLARATION = re.compile(r"""(?:[^;"'()]++|"[^"]*+"|'[^']*+'|\([^()]*+\)|["'()])++""")  # a semicolon in quotes or brackets ends none
 _START = re.compile(r"""start\s*=\s*["']?(\d{1,9})""", re.I)
 _SPAN = re.compile(r"""colspan\s*=\s*["']?(\d{1,3})""", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
@@ -167,10 +170,37 @@ class _Out:
         self.lead = ""
 
 
-def _shown(node: Node) -> bool:
-    if node.tag in HIDDEN or node.marks and _HIDING.search(node.marks):
-        return False
-    return not (node.tag == "input" and _TYPE_HIDDEN.search(node.marks))
+def _attributes(marks: str) -> dict[str, str]:
+    """Names in lower case and values of a tag's attributes; of repeated names the first counts."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(marks):
+        found.setdefault(name.lower(), unescape("".join(values)))
+    return found
+
+
+def _declared(style: str) -> dict[str, str]:
+    """Properties and values of a style attribute; of repeated ones the last important one counts, else the last."""
+    found: dict[str, tuple[bool, str]] = {}
+    for declaration in _DECLARATION.findall(_COMMENT.sub(" ", style)):
+        name, _, value = declaration.partition(":")
+        name, (value, mark, rank) = name.strip().lower(), value.lower().partition("!")
+        important = bool(mark) and rank.strip() == "important"
+        if value.strip() and (important or not found.get(name, (False,))[0]):
+            found[name] = important, value.strip()
+    return {name: value for name, (_, value) in found.items()}
+
+
+def _shown(node: Node, visible: bool) -> bool | None:
+    """Whether a node's own text is visible, given its parent's; None if it is left out with all it holds."""
+    if node.tag in HIDDEN:
+        return None
+    if not node.marks or not _MAY_HIDE.search(node.marks):
+        return visible
+    attributes = _attributes(node.marks)
+    style = _declared(attributes.get("style", ""))
+    if "hidden" in attributes or style.get("display") == "none":
+        return None
+    return {"hidden": False, "collapse": False, "visible": True, "initial": True}.get(style.get("visibility"), visible)
 
 
 def _aligned(rows: list[list[tuple[str, int]]]) -> list[str]:
@@ -197,11 +227,13 @@ def render(html: str | None) -> str:
     if not html:
         return ""
     outs, tables, numbers, verbatim = [_Out()], [], [], 0
-    work: list = [(tree(html), False)]
+    work: list = [(tree(html), False, True)]
     while work:
-        node, leaving = work.pop()
+        node, leaving, visible = work.pop()
         out = outs[-1]
         if isinstance(node, str):
+            if not visible:
+                continue
             if verbatim:
                 first, *rest = node.split("\n")
                 out.text(first.replace(" ", " ").replace("\t", " " * 4))
@@ -213,7 +245,8 @@ def render(html: str | None) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if not _shown(node):
+            visible = _shown(node, visible)
+            if visible is None:
                 continue
             if tag == "br":
                 out.line(keep_empty=bool(out.words))
@@ -242,8 +275,8 @@ def render(html: str | None) -> str:
                 tables[-1].append([])
             elif tag in ("td", "th", "caption") and tables:
                 outs.append(_Out())
-            work.append((node, True))
-            work.extend((c, False) for c in reversed(node.children))
+            work.append((node, True, visible))
+            work.extend((c, False, visible) for c in reversed(node.children))
             continue
         if tag in ("td", "th", "caption") and tables:
             out.line()
@@ -262,6 +295,8 @@ def render(html: str | None) -> str:
         if tag == "table":
             for line in _aligned([r for r in tables.pop() if r]):
                 out.put(line)
+        elif tag == "tr" and not visible and tables and tables[-1] and not any(text for text, _ in tables[-1][-1]):
+            tables[-1].pop()
         elif tag == "pre":
             verbatim -= 1
         elif tag in ("ul", "ol", "menu"):
