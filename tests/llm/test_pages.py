@@ -155,6 +155,17 @@ def test_only_hiding_attributes_hide(tag, shown):
     assert rendering.render(f"a<{tag}>kept <b>whole</b></div>b") == ("a\nkept whole\nb" if shown else "a\nb" if "visibility" in tag else "ab")
 
 
+@pytest.mark.parametrize("html, text", [
+    ("so <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.", "so x=2."),
+    ("<math><semantics><mi>y</mi><annotation>no</annotation></semantics></math>", "y"),
+    ("<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><style>no</style><script>no</script><path d='M0'/>"
+     "<text>A</text><text>B <tspan>C</tspan></text></svg>", "A B C"),
+    ("<svg><title/><defs/><text>kept</text></svg> after", "kept after"), ("<svg/>a<desc>b</desc>", "ab"),
+])
+def test_formulas_and_labels(html, text):
+    assert rendering.render(html) == text
+
+
 def test_visible_again_within_hidden():
     assert rendering.render('<p style="visibility:hidden">no <b style="visibility:visible">yes</b> no') == "yes"
     assert rendering.render('<table><tr style="visibility:collapse"><td>no<td>no<tr><td>a<td>b</table>') == "a | b"

@@ -3,7 +3,8 @@
 A page's tags become a tree: end tags that HTML lets authors leave out are implied (a paragraph ends
 where a block begins, an item where the next begins, and so on), stray end tags are ignored, open
 elements end with their parent. Elements that a browser doesn't show (head, script, style, template,
-an attribute named ``hidden``, the style declaration ``display:none``) are left out with all they hold; of
+an attribute named ``hidden``, the style declaration ``display:none``) are left out with all they hold, as are titles, descriptions
+and definitions in ``svg`` and annotations in ``math``, whose other text is inline text; of
 ``visibility:hidden`` all but the descendants that are ``visible`` again. Style sheets and classes aren't
 followed. Of the rest all text is emitted: blocks on lines of their own, a blank line around paragraphs and headings, list items
 with marks and indents, preformatted text as it is, table cells in aligned columns (``MAX_CELL``: wider
@@ -31,7 +32,10 @@ from waybill.llm.words import row_chunks
 MAX_CELL = 40
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template title noscript iframe noembed noframes audio video canvas object svg math datalist".split())
+HIDDEN = frozenset("head script style template title noscript iframe noembed noframes audio video canvas object datalist".split())
+# never drawn where they stand, besides those
+HIDDEN_WITHIN = {"svg": frozenset("desc defs metadata symbol clippath mask marker pattern".split()),
+                 "math": frozenset("annotation annotation-xml mphantom".split())}
 LINES = frozenset("address article aside body center dd details dialog div dl dt fieldset figcaption figure footer form header "
                   "hgroup html legend li main menu nav ol optgroup option search section select summary table tbody td tfoot "
                   "th thead tr ul".split())
@@ -131,7 +135,8 @@ def tree(html: str) -> Node:
                 close(depth)
         node = Node(name, marks)
         stack[-1].children.append(node)
-        if name in VOID or marks.endswith("/") and name in ("svg", "math"):
+        if name in VOID or marks.endswith("/") and (
+                name in ("svg", "math") or (open_count.get("svg") or open_count.get("math")) and not open_count.get("foreignobject")):
             continue
         if name in RAW:
             end = re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
@@ -227,6 +232,7 @@ def render(html: str | None) -> str:
     if not html:
         return ""
     outs, tables, numbers, verbatim = [_Out()], [], [], 0
+    inside = {"svg": 0, "math": 0}
     work: list = [(tree(html), False, True)]
     while work:
         node, leaving, visible = work.pop()
@@ -246,8 +252,12 @@ def render(html: str | None) -> str:
         tag = node.tag
         if not leaving:
             visible = _shown(node, visible)
-            if visible is None:
+            if visible is None or any(depth and tag in HIDDEN_WITHIN[kind] for kind, depth in inside.items()):
                 continue
+            if tag in inside:
+                inside[tag] += 1
+            elif tag == "text" and inside["svg"]:
+                out.text(" ")  # labels stand apart
             if tag == "br":
                 out.line(keep_empty=bool(out.words))
                 continue
@@ -290,6 +300,10 @@ def render(html: str | None) -> str:
                     tables[-1].append([])
                 tables[-1][-1].append((text, max(1, int(span[1])) if span else 1))
             continue
+        if tag in inside:
+            inside[tag] -= 1
+        elif tag == "text" and inside["svg"]:
+            out.text(" ")
         if tag in LINES or tag in SPACED:
             out.line()
         if tag == "table":
