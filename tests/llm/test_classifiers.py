@@ -52,6 +52,15 @@ def test_folding():
     assert fold("end! Next") == fold("end next") and fold("réeux") != fold("reeux")
 
 
+def test_typographic_characters_part_words():
+    fold = toxicity.fold_text
+    lexicon = toxicity.Lexicon({" bad ": 2.0})
+    for text in ("“bad”", "‘bad’", "so–bad—then", "so…bad", "«bad»", "b\u200bad", "\ufeffbad", "ba\u00add", "❤\ufe0fbad\ufe0f", "\U0001f600bad\U0001f600"):
+        assert toxicity.counted(fold(text), lexicon.matcher())[0] == 2.0, text
+    assert fold("naïve नमस्ते 汉字 \U00010400") == fold("“naïve”–नमस्ते—汉字…\U00010400") and fold("नमस्ते").count(" ") == 2
+    assert fold("–\u200b…") == " "
+
+
 def test_matches_and_exceptions():
     lexicon = toxicity.Lexicon({" bad ": 2.0, " nast": 1.0, " nastier ": 1.5}, [" not bad ", " nasturtium "])
     count = lambda text: toxicity.counted(toxicity.fold_text(text), lexicon.matcher())

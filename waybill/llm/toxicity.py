@@ -2,7 +2,7 @@
 
 Folding: lower case, compatibility forms, look-alike letters of other scripts and digits or signs that
 stand for letters replaced; accents stay, as they tell words of many languages apart. 1, l, | and ! all fold to i, in texts and lexicon
-alike. What is left between letters is one space.
+alike. Characters without width are dropped. What is left between letters and their marks is one space.
 
 An entry is a whole word (`` word ``) or the beginning of one (`` stem``). A match doesn't count where
 an exception phrase covers it. The counted weights, over the text's length and in sum, give the
@@ -20,6 +20,7 @@ repeated rows repeat and null ids stay. Other columns pass through ``scored`` un
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -41,7 +42,22 @@ LOOK_ALIKES = {
     "@": "a", "$": "s", "|": "i", "!": "i", "l": "i",
 }
 _FOLD = str.maketrans(LOOK_ALIKES)
-_GAPS = re.compile(r"[^a-zß-￿]+")
+
+
+def _outside(kept) -> re.Pattern:
+    """Runs of characters for which ``kept`` doesn't hold."""
+    bounds, last = [], True
+    for code in range(sys.maxunicode + 2):
+        now = code > sys.maxunicode or kept(chr(code))
+        if now != last:
+            bounds.append(code - now)
+            last = now
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(bounds[::2], bounds[1::2])) + "]+")
+
+
+_GAPS = _outside(lambda c: unicodedata.category(c)[0] in "LM")
+# format characters and variation selectors take no room: words go on across them
+_NO_WIDTH = _outside(lambda c: unicodedata.category(c) != "Cf" and not "\ufe00" <= c <= "\ufe0f")
 STEMS = range(3, 10)
 
 
@@ -49,7 +65,7 @@ def fold_text(text: str | None) -> str:
     """`` word word `` of the folded text, with a space at both ends; one space if there is no word."""
     text = (text or "").lower()
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
+        text = _NO_WIDTH.sub("", unicodedata.normalize("NFKC", text))
     # a sign that ends a word is punctuation, within or before letters it stands for one
     text = re.sub(r"[!|$@]+(?![^\W_])", " ", text).translate(_FOLD)
     words = _GAPS.sub(" ", text).strip()
