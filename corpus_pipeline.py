@@ -33,8 +33,10 @@ def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is at least ``GOOD``."""
+    """Documents whose quality score is at least ``GOOD``; all without labels of both values."""
     space = quality.quality_model(docs, _table(spark, sf_dir, "labels"), F.lit(True))
+    if len(set(space.labels)) < 2:
+        return docs  # labels of one value tell nothing apart
     return quality.scored(docs, space, name=_SCORE).filter(F.col(_SCORE) >= GOOD).drop(_SCORE)
 
 

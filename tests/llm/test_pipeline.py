@@ -93,6 +93,13 @@ def test_empty_input(spark, corpus):
         assert docs.count() == 0
 
 
+@pytest.mark.parametrize("value", [0, 1])
+def test_labels_of_one_value_reject_nothing(spark, tmp_path, value):
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(6)], "doc_id long, text string")
+    spark.createDataFrame([(i, value) for i in range(3)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.keep_good(spark, docs, str(tmp_path)).count() == 6
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the given tables")
 @pytest.mark.parametrize("name", sorted(set(QUERIES) & set(entry.oracle_sql())))
 def test_query_matches_sql(spark, name):
