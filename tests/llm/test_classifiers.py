@@ -70,6 +70,30 @@ def test_matches_and_exceptions():
     assert count("badge unbad") == (0.0, 2) and count("") == (0.0, 0)
 
 
+def test_matches_as_a_scan_of_every_entry_at_every_place():
+    rnd = random.Random(4)
+    for _ in range(300):
+        make = lambda: "".join(rnd.choice("abc") for _ in range(rnd.randint(1, 4)))
+        weights = {f" {make()}" + rnd.choice(["", " "]): rnd.choice([0.5, 1.0, 2.0]) for _ in range(rnd.randint(0, 8))}
+        exceptions = [" " + " ".join(make() for _ in range(rnd.randint(1, 2))) + " " for _ in range(rnd.randint(0, 4))]
+        text = toxicity.fold_text(" ".join(make() for _ in range(rnd.randint(0, 30))))
+        excused = [(i, i + len(e)) for e in exceptions if e not in weights for i in range(len(text)) if text.startswith(e, i)]
+        total = 0.0
+        for i in range(len(text)):
+            matched = [(w, len(e)) for e, w in weights.items() if text.startswith(e, i)]
+            if matched:
+                best = max(w for w, _ in matched)
+                length = min(n for w, n in matched if w == best)  # of equal weights the first that ends
+                total += 0 if any(a <= i and i + length <= b for a, b in excused) else best
+        lexicon = toxicity.Lexicon(weights, exceptions)
+        assert toxicity.counted(text, lexicon.matcher()) == (total, len(text.split())), (text, weights, exceptions)
+
+
+def test_a_score_column_is_replaced(spark, toxic_rows):
+    docs = spark.createDataFrame(toxic_rows[:5], DOCS).withColumn("score", F.lit("x"))
+    assert toxicity.scored(docs, toxicity.Lexicon()).dtypes[-1] == ("score", "double")
+
+
 @pytest.fixture(scope="module")
 def toxic_rows():
     rnd = random.Random(1)

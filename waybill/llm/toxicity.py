@@ -20,7 +20,6 @@ repeated rows repeat and null ids stay. Other columns pass through ``scored`` un
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,6 +30,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from waybill.llm.labelled import logistic, training_sample
+from waybill.llm.tables import forget, keep
+from waybill.llm.words import row_chunks
 
 # fixed values: letters of other scripts that look like Latin ones, signs and digits used for letters
 LOOK_ALIKES = {
@@ -41,23 +42,27 @@ LOOK_ALIKES = {
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "|": "i", "!": "i", "l": "i",
 }
-_FOLD = str.maketrans(LOOK_ALIKES)
 
 
-def _outside(kept) -> re.Pattern:
-    """Runs of characters for which ``kept`` doesn't hold."""
-    bounds, last = [], True
-    for code in range(sys.maxunicode + 2):
-        now = code > sys.maxunicode or kept(chr(code))
-        if now != last:
-            bounds.append(code - now)
-            last = now
-    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(bounds[::2], bounds[1::2])) + "]+")
+def _weightless(character: str) -> bool:
+    """Format characters and variation selectors take no room: words go on across them."""
+    return unicodedata.category(character) == "Cf" or "\ufe00" <= character <= "\ufe0f"
 
 
-_GAPS = _outside(lambda c: unicodedata.category(c)[0] in "LM")
-# format characters and variation selectors take no room: words go on across them
-_NO_WIDTH = _outside(lambda c: unicodedata.category(c) != "Cf" and not "\ufe00" <= c <= "\ufe0f")
+class _Once(dict):
+    """A table for ``str.translate`` that works a character out when it is first met."""
+
+    def __init__(self, of):
+        self.of = of
+
+    def __missing__(self, code: int):
+        found = self[code] = self.of(chr(code))
+        return found
+
+
+_NO_WIDTH = _Once(lambda c: None if _weightless(c) else c)
+_FOLD = _Once(lambda c: LOOK_ALIKES.get(c) or (c if unicodedata.category(c)[0] in "LM" else " "))
+_SIGNS = re.compile(r"[!|$@]+(?![^\W_])")  # where they end a word
 STEMS = range(3, 10)
 
 
@@ -65,10 +70,9 @@ def fold_text(text: str | None) -> str:
     """`` word word `` of the folded text, with a space at both ends; one space if there is no word."""
     text = (text or "").lower()
     if not text.isascii():
-        text = _NO_WIDTH.sub("", unicodedata.normalize("NFKC", text))
+        text = unicodedata.normalize("NFKC", text).translate(_NO_WIDTH)
     # a sign that ends a word is punctuation, within or before letters it stands for one
-    text = re.sub(r"[!|$@]+(?![^\W_])", " ", text).translate(_FOLD)
-    words = _GAPS.sub(" ", text).strip()
+    words = " ".join(_SIGNS.sub(" ", text).translate(_FOLD).split())
     return f" {words} " if words else " "
 
 
@@ -120,14 +124,27 @@ def terms(folded: str) -> set[str]:
     return found
 
 
-def _lists(sample: DataFrame, make, schema: str) -> DataFrame:
-    """(y, found): what ``make`` finds in each folded text."""
+def _folded(sample: DataFrame) -> DataFrame:
+    """Stored (text, y) with folded texts, as they are read several times."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in row_chunks(whole, "text"):
+                texts = [fold_text(t) for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("y")], ["text", "y"])
+
+    return keep(sample.select("text", "y").mapInArrow(run, "text string, y int"), "folded")
+
+
+def _lists(folded: DataFrame, make) -> DataFrame:
+    """(y, found): what the function that ``make`` returns, once a task, finds in each folded text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [make(fold_text(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.string()))], ["y", "found"])
+        find = make()
+        for whole in batches:
+            for batch in row_chunks(whole, "text"):
+                found = [sorted(find(t)) for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.string()))], ["y", "found"])
 
-    return sample.mapInArrow(run, "y int, found array<string>")
+    return folded.mapInArrow(run, "y int, found array<string>")
 
 
 def _surprise(toxic: int, clean: int, share: float) -> float:
@@ -142,24 +159,25 @@ def learn(sample: DataFrame, support: float = 0.01, purity: float = 0.5, surpris
     that hold it, but none of the chosen entries that begin like it, must be toxic. Its rate among
     them must be beyond chance: ``surprise`` is the least log-likelihood ratio against all documents.
     """
+    sample = _folded(sample)
     totals = {row["y"]: row["count"] for row in sample.groupBy("y").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return Lexicon()
     least = max(3, int(support * toxic))
     often = (
-        _lists(sample.filter("y = 1"), lambda text: sorted(terms(text)), "found")
+        _lists(sample.filter("y = 1"), lambda: terms)
         .select(F.explode("found").alias("term")).groupBy("term").count().filter(F.col("count") >= least)
         .select("term").collect()
     )  # at most (terms in the sample) / least rows
     wanted = sample.sparkSession.sparkContext.broadcast({row["term"] for row in often})
-    seen = _lists(sample, lambda text: sorted(terms(text) & wanted.value), "found")
+    seen = _lists(sample, lambda: lambda text: terms(text) & wanted.value)
     rates = seen.select("y", F.explode("found").alias("term")).groupBy("term").agg(
         F.sum("y").alias("t"), F.count("*").alias("n")).filter(F.col("t") >= F.col("n") * 0.3)
     rate = {r["term"]: (r["t"], r["n"]) for r in rates.collect()}
     named = sample.sparkSession.sparkContext.broadcast(set(rate))
     docs = [(r["y"], set(r["found"])) for r in _lists(
-        sample, lambda text: sorted(terms(text) & named.value), "found").filter(F.size("found") > 0).collect()]
+        sample, lambda: lambda text: terms(text) & named.value).filter(F.size("found") > 0).collect()]
     holders: dict[str, list[set[int]]] = {}
     for i, (y, found) in enumerate(docs):
         for term in found:
@@ -183,59 +201,64 @@ def learn(sample: DataFrame, support: float = 0.01, purity: float = 0.5, surpris
             break
     lexicon = Lexicon({k: w for k, w in weights.items() if w > 0})
     lexicon.exceptions = _exceptions(sample, lexicon)
-    rows = totals_of(sample, lexicon).select("total", "words", "y").collect()
+    rows = _apply(sample, "text", ["total", "words"], lambda: _totals(lexicon), fold=None).select("total", "words", "y").collect()
+    forget(sample)
     total, words, y = (np.array([r[i] for r in rows], float) for i in range(3))
     lexicon.curve = tuple(map(float, logistic(_features(total, words), y)))
     return lexicon
 
 
-def _exceptions(sample: DataFrame, lexicon: Lexicon, least: int = 3, size: int = 1000) -> list[str]:
-    """Whole words and word pairs around matches that are toxic in no more than a fifth of cases."""
-    def phrases(text: str) -> list[str]:
-        matcher, found = lexicon.matcher(), set()
-        for end, (length, _) in matcher.iter(text) if len(matcher) else ():
-            start = end - length + 1
-            stop = text.index(" ", max(end, start + 1))
-            before, after = text.rfind(" ", 0, max(start, 0)), text.find(" ", stop + 1)
-            found.add(text[start : stop + 1])
-            if before >= 0:
-                found.add(text[before : stop + 1])
-            if after >= 0:
-                found.add(text[start : after + 1])
-        return sorted(found)
-
-    counts = _lists(sample, phrases, "found").select("y", F.explode("found").alias("phrase")).groupBy("phrase").agg(
+def _exceptions(sample: DataFrame, lexicon: Lexicon, least: int = 3) -> list[str]:
+    """Whole words and word pairs around matches that are toxic in no more than a fifth of cases;
+    all that occur in ``least`` texts, so the sample's bound is theirs."""
+    def make():
+        matcher = lexicon.matcher()
+
+        def phrases(text: str) -> set[str]:
+            found = set()
+            for end, (length, _) in matcher.iter(text) if len(matcher) else ():
+                start = end - length + 1
+                stop = text.index(" ", max(end, start + 1))
+                before, after = text.rfind(" ", 0, max(start, 0)), text.find(" ", stop + 1)
+                found.add(text[start : stop + 1])
+                if before >= 0:
+                    found.add(text[before : stop + 1])
+                if after >= 0:
+                    found.add(text[start : after + 1])
+            return found
+        return phrases
+
+    counts = _lists(sample, make).select("y", F.explode("found").alias("phrase")).groupBy("phrase").agg(
         F.sum("y").alias("t"), F.count("*").alias("n"))
-    rows = counts.filter((F.col("n") >= least) & (F.col("t") * 5 <= F.col("n"))).orderBy(F.desc("n"), "phrase").limit(size).collect()
-    return [r["phrase"] for r in rows]
+    rows = counts.filter((F.col("n") >= least) & (F.col("t") * 5 <= F.col("n"))).select("phrase").collect()
+    return sorted(r["phrase"] for r in rows)
 
 
-def _apply(df: DataFrame, text: str, names: list[str], make) -> DataFrame:
-    """``df`` with double columns that ``make`` computes from all folded texts of a batch."""
+def _apply(df: DataFrame, text: str, names: list[str], make, fold=fold_text) -> DataFrame:
+    """``df`` with double columns that the function ``make`` returns computes from folded texts."""
     schema = StructType(df.schema.fields + [StructField(n, DoubleType()) for n in names])
     place = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = make()
-        for batch in batches:
-            columns = state([fold_text(t) for t in batch.column(place).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.float64()) for c in columns)],
-                                             [*batch.schema.names, *names])
+        for whole in batches:
+            for batch in row_chunks(whole, place):
+                texts = batch.column(place).to_pylist()
+                columns = state([fold(t) for t in texts] if fold else texts)
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, pa.float64()) for c in columns)],
+                                                 [*batch.schema.names, *names])
 
     return df.mapInArrow(run, schema)
 
 
-def totals_of(df: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """(text, ...) with ``total`` weight of counted matches and number of ``words``."""
-    def make():
-        automaton = lexicon.matcher()
-        return lambda texts: tuple(zip(*(map(float, counted(t, automaton)) for t in texts))) or ((), ())
-
-    return _apply(df, "text", ["total", "words"], make)
+def _totals(lexicon: Lexicon):
+    automaton = lexicon.matcher()
+    return lambda texts: tuple(zip(*(map(float, counted(t, automaton)) for t in texts))) or ((), ())
 
 
 def scored(docs: DataFrame, lexicon: Lexicon, name: str = "score") -> DataFrame:
-    """``docs`` with column ``name``: 0 to 1, higher for likelier toxic."""
+    """``docs`` with column ``name``: 0 to 1, higher for likelier toxic. A column of that name is replaced."""
+    docs = docs.drop(name)
     def make():
         automaton = lexicon.matcher()
 

@@ -50,7 +50,7 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def row_chunks(batch: pa.RecordBatch, text: str, size: int = 2 * PIECE) -> Iterator[pa.RecordBatch]:
+def row_chunks(batch: pa.RecordBatch, text: str | int, size: int = 2 * PIECE) -> Iterator[pa.RecordBatch]:
     """Slices of whole rows with about ``size`` bytes of text each, or one longer text."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     ends, start, total = np.cumsum(lengths), 0, 0
