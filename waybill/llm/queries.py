@@ -5,11 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination, jaccard, neighbours, pieces, preference, quality, rendering, toxicity, urls, warc
+from waybill.llm import decontamination, jaccard, neighbours, packing, pieces, preference, quality, rendering, toxicity, urls, warc
 from waybill.llm.labelled import fold
 
 
 MODEL = "piece_bpe_32k.model"
+TOKENIZER = "word_bpe_49k.json"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -92,6 +93,11 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.select("page_id", "text", "n_blocks", F.length("text").cast("long").alias("n_chars"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_preference": op2_preference,
@@ -103,4 +109,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_html_text": op10_html_text,
+    "op12_packing": op12_packing,
 }
