@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination, jaccard, neighbours, packing, pieces, preference, quality, rendering, toxicity, urls, warc
+from waybill.llm import decontamination, jaccard, neighbours, packing, periodic, pieces, preference, quality, rendering, toxicity, urls, warc
 from waybill.llm.labelled import fold
 
 
@@ -93,6 +93,28 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown.select("page_id", "text", "n_blocks", F.length("text").cast("long").alias("n_chars"))
 
 
+def _with_repeated_ends(docs: DataFrame) -> DataFrame:
+    """Every document whose id has a crc32 divisible by 10 repeats what follows some word of it."""
+    marked = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary"))).withColumn("g", F.expr("h DIV 10"))
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    cut = marked.withColumn("words", F.when(F.col("h") % 10 == 0, split)).withColumn("n", F.size("words").cast("long"))
+    placed = cut.withColumn("a", F.expr("g % greatest(n, 1)")).withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    repeated = F.expr("array_join(transform(sequence(0L, n - 1), i -> words[CAST(CASE WHEN i < a THEN i ELSE a + (i - a) % p END AS INT)]), ' ')")
+    return placed.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.with_runs(_with_repeated_ends(_read(spark, sf_dir, "documents").select("doc_id", "text")))
+    better = lambda a, b: a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"])
+    best = F.aggregate("runs", F.lit(None).cast(periodic.RUN), lambda a, b: F.when(better(a, b), b).otherwise(a))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -109,5 +131,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filter": op9_url_filter,
     "op10_html_text": op10_html_text,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_packing": op12_packing,
 }

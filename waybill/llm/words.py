@@ -18,8 +18,9 @@ PIECE = 1 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _STEPS = np.random.default_rng(20240607).integers(0, 2**64, 64, dtype=np.uint64) | _U(1)
-_BYTES = np.random.default_rng(7).integers(0, 2**64, 256, dtype=np.uint64)
-_BYTES[65:91] = _BYTES[97:123]
+_EXACT = np.random.default_rng(7).integers(0, 2**64, 256, dtype=np.uint64)
+_FOLDED = _EXACT.copy()
+_FOLDED[65:91] = _FOLDED[97:123]
 
 
 def separator_table(*ranges: tuple[int, int]) -> np.ndarray:
@@ -84,9 +85,8 @@ def _pieces(data: np.ndarray, separator: np.ndarray) -> Iterator[tuple[int, int]
         low = high
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and the index of each text's first word (one more entry than texts)."""
-    hashes, places = [], []
+def _words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, values: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Hash, first byte and end of the words of one piece after the other."""
     for low, high in _pieces(data, separator):
         piece = data[low:high]
         word = ~separator[piece]
@@ -99,15 +99,31 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) ->
         starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
         forward, backward = _Powers.upto(max(len(piece), 2 * PIECE))
         sums = np.zeros(len(piece) + 1, np.uint64)
-        np.cumsum(_BYTES[piece] * forward[: len(piece)], out=sums[1:])
+        np.cumsum(values[piece] * forward[: len(piece)], out=sums[1:])
         value = (sums[ends] - sums[starts]) * backward[starts]
-        hashes.append(mix(value + (ends - starts).astype(np.uint64) * _STEPS[63]))
-        places.append(starts + low)
+        yield mix(value + (ends - starts).astype(np.uint64) * _STEPS[63]), starts + low, ends + low
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and the index of each text's first word (one more entry than texts)."""
+    hashes, places = [], []
+    for found, starts, _ in _words(data, offsets, separator, _FOLDED):
+        hashes.append(found)
+        places.append(starts)
     if not hashes:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
     return np.concatenate(hashes), np.searchsorted(np.concatenate(places), offsets)
 
 
+def exact_words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Hash of every word as it is written, its first byte and end, and the index of each text's first word."""
+    found = list(_words(data, offsets, separator, _EXACT))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+    hashes, starts, ends = (np.concatenate(part) for part in zip(*found))
+    return hashes, starts, ends, np.searchsorted(starts, offsets)
+
+
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of the ``k`` words from each position on, whatever text they belong to."""
     n = max(len(words) - k + 1, 0)
