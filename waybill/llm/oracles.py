@@ -85,4 +85,31 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit,
 FROM docs d LEFT JOIN covered c USING (row) LEFT JOIN named n USING (row)
 """
 
-SQL: dict[str, str] = {"op2_preference": PREFERENCE, "op8_decontamination": DECONTAMINATION}
+RANKED = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+texts AS (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+asked AS (
+  SELECT item_id, term, count(*) AS c
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM texts) GROUP BY ALL),
+sums AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS words FROM docs WHERE len(w) > 0),
+counts AS (
+  SELECT row, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT row, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM docs) SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM counts, sums GROUP BY term, docs),
+scores AS (
+  SELECT item_id, row, doc_id,
+         sum(c * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // words)))))::BIGINT AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term), sums
+  WHERE doc_id IS NOT NULL GROUP BY item_id, row, doc_id),
+ranks AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+          FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranks WHERE rank <= 20
+"""
+
+SQL: dict[str, str] = {"op2_preference": PREFERENCE, "op8_decontamination": DECONTAMINATION, "op13_ranked_search": RANKED}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from waybill.llm import decontamination, jaccard, neighbours, packing, periodic, pieces, preference, quality, rendering, toxicity, urls, warc
+from waybill.llm import decontamination, jaccard, neighbours, packing, periodic, pieces, preference, quality, ranking, rendering, toxicity, urls, warc
 from waybill.llm.labelled import fold
 
 
@@ -120,6 +120,10 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_preference": op2_preference,
@@ -133,4 +137,5 @@ QUERIES = {
     "op10_html_text": op10_html_text,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_packing": op12_packing,
+    "op13_ranked_search": op13_ranked_search,
 }
