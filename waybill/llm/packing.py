@@ -13,11 +13,12 @@ happens whenever ``open_windows`` are open, so memory is bounded by that many wi
 one document, whatever the task's size.
 
 Texts are cut at ASCII white space, across which the tokenizer merges and composes nothing; each
-part is encoded once by the library and remembered in a dictionary of two bounded generations.
+part is encoded once by the library and remembered, up to a fixed number of parts.
 
 Defined cases: a null or empty text has the end id only. Rows are packed one by one: repeated rows and ids
 are packed as often as they occur, a null id stays null. An empty table gives no pieces. Other
-columns are ignored. Sequence ids are unique, not gapless: the task's number and a count within it.
+columns are ignored. Sequence ids are unique, not gapless: the task's number and a count within it. Equality of
+parts is equality of 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -31,11 +32,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from waybill.llm.words import PIECE, row_chunks
+from waybill.llm.words import PIECE, WHITE_SPACE, exact_words, flat_bytes, row_chunks
 
 WINDOW = 2048
 OPEN_WINDOWS = 2048
-REMEMBERED = 250_000
+REMEMBERED = 2_000_000  # parts, of some 40 bytes each
 ROWS_OUT = 2048
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
@@ -54,42 +55,65 @@ def _slices(text: bytes) -> Iterator[bytes]:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit integers, by a tokenizer given as JSON text."""
+    """Ids of whole texts as little-endian 32-bit integers, by a tokenizer given as JSON text.
+
+    Parts are known by their hash, in sorted arrays; when ``REMEMBERED`` are known, all are forgotten.
+    """
 
     def __init__(self, tokenizer: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _learn(self, wanted: set[bytes]) -> None:
-        """Afterwards all ``wanted`` parts are among the young."""
-        missing = wanted.difference(self.young)
-        if missing and len(self.young) + len(missing) > REMEMBERED:
-            self.young, self.old, missing = {}, self.young, wanted
-        unknown = []
-        for part in missing:
-            found = self.old.get(part)
-            if found is None:
-                unknown.append(part)
-            else:
-                self.young[part] = found
-        if unknown:
-            encoded = self.tokenizer.encode_batch([p.decode("utf-8", "replace") for p in unknown], add_special_tokens=False)
-            for part, one in zip(unknown, encoded):
-                self.young[part] = np.array(one.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        if sum(len(t) for t in texts if t) > 4 * PIECE:
-            return [b"".join(self._encode([s])[0] for s in _slices(t)) if t else b"" for t in texts]
-        return self._encode(texts)
-
-    def _encode(self, texts: list[bytes | None]) -> list[bytes]:
-        parts = [t.split() if t else [] for t in texts]  # at 0x20 and 0x09 to 0x0D
-        self._learn(set().union(*parts))
-        known = self.young
-        return [b"".join([known[p] for p in one]) for one in parts]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _encoded(self, parts: list[bytes]) -> list[np.ndarray]:
+        texts = [p.decode("utf-8", "replace") for p in parts]
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, hashes: np.ndarray, parts: list[bytes]) -> None:
+        found = self._encoded(parts)
+        sizes = np.array([len(f) for f in found], np.int64)
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.begins = np.insert(self.begins, at, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.sizes = np.insert(self.sizes, at, sizes)
+        self.ids = np.concatenate([self.ids, *found])
+
+    def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.hashes, hashes)
+        known = at < len(self.hashes)
+        known[known] = self.hashes[at[known]] == hashes[known]
+        return at, known
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """One after the other where they are long together."""
+        if (pc.sum(pc.binary_length(texts)).as_py() or 0) <= 4 * PIECE:
+            return self._encode(texts)
+        slices = ((_slices(t) if t else ()) for t in texts.cast(pa.binary()).to_pylist())
+        return [b"".join(self._encode(pa.array([part], pa.binary()))[0] for part in parts) for parts in slices]
+
+    def _encode(self, texts: pa.Array) -> list[bytes]:
+        data, offsets = flat_bytes(texts)
+        words, starts, ends, first = exact_words(data, offsets, WHITE_SPACE)
+        distinct, example, which = np.unique(words, return_index=True, return_inverse=True)
+        at, known = self._places(distinct)
+        if not known.all() and len(self.hashes) + len(distinct) - known.sum() > REMEMBERED:
+            self._forget()
+            known[:] = False
+        if not known.all():
+            new = example[~known]
+            self._learn(distinct[~known], [data[a:b].tobytes() for a, b in zip(starts[new], ends[new])])
+            at, _ = self._places(distinct)
+        sizes = self.sizes[at][which]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(self.begins[at][which] - before[:-1], sizes) + np.arange(before[-1])]
+        packed, bounds = ids.astype("<u4").tobytes(), (4 * before[first]).tolist()
+        return [packed[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -233,8 +257,7 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text", win
 
         for whole in batches:
             for batch in row_chunks(whole, "text"):
-                texts = pc.cast(batch.column("text"), pa.binary()).to_pylist()
-                for document, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
+                for document, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                     packer.add(document, ids + last)
                 yield from rows(packer.taken())
         packer.end()
