@@ -76,11 +76,50 @@ def test_equals_all_pairs(spark, docs, boundary, monkeypatch):
 
 
 def test_one_of_each_group_stays(spark, docs):
-    kept = jaccard.one_of_each_group(frame(spark, docs))
-    ids = [r["doc_id"] for r in kept.collect()]
-    firsts = {i for i, _, root in brute(docs) if i is not None and root == i}
-    assert sorted(i for i in ids if i is not None) == sorted(firsts) and ids.count(None) == 2
+    rows = [*docs, (5001, ""), (70, None), (None, docs[3][1]), (5010, docs[5][1] + " more"), (5010, "two texts of one id, both judged")]
+    kept = jaccard.one_of_each_group(frame(spark, rows))
     assert set(kept.columns) == {"doc_id", "text", "n", "key", "id", "root"}
+    root = {i: r for i, _, r in brute([(k, t) for k, (_, t) in enumerate(rows)])}
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    groups = {}
+    for k, row in enumerate(rows):
+        groups.setdefault(root[k], set()).add(row)
+    for group in groups.values():
+        stays = [row for row in group if row in found]
+        first = min(group, key=lambda row: (row[0] is None, row[0] or 0))[0]
+        assert len(stays) == 1 and stays[0][0] == first, group
+    assert len(found) == len(set(found)) == len({row for group in groups.values() for row in found if row in group})
+
+
+def chain_of_long_lists(lists, members):
+    """Every list's members hold its element; each list shares one document with the next. Sets are far apart."""
+    return [(f"list{k}", k * (members - 1) + m) for k in range(lists) for m in range(members)]
+
+
+def test_chained_long_lists_are_compared_less_than_quadratically(spark, monkeypatch):
+    from waybill.llm.jaccard import _block_links
+
+    compared = []
+    for lists in (13, 130):
+        rows = chain_of_long_lists(lists, 80)
+        ids = sorted({i for _, i in rows})
+        texts = [(i, " ".join(f"t{i // 2}w{k}" for k in range(40)) + (" odd" if i % 2 else "")) for i in ids]  # linked two by two
+        long = spark.createDataFrame([(hash(key) & 0xFFFFFFFF, i, 36, 80) for key, i in rows], "key long, id long, n long, c long")
+        seen = []
+        real = jaccard.keep
+        monkeypatch.setattr(jaccard, "keep", lambda df, name: seen.append((name, out := real(df, name))) or out)
+        monkeypatch.setattr(jaccard, "forget", lambda *kept: None)
+        links = _block_links(frame(spark, texts), long)
+        found = {tuple(sorted((r["a"], r["b"]))) for r in links.collect()}
+        met = {frozenset(p) for key in {k for k, _ in rows} for p in [(2 * i, 2 * i + 1) for i in range(len(ids) // 2)]}
+        wanted = {(i, i + 1) for i in ids[::2] if frozenset((i, i + 1)) in met and i + 1 in ids}
+        assert found == wanted
+        placed, sides = dict(seen)["blocks"], dict(seen)["sides"]
+        sizes = placed.groupBy("block").count()
+        a, b = sizes.withColumnsRenamed({"block": "i", "count": "x"}), sizes.withColumnsRenamed({"block": "j", "count": "y"})
+        compared.append(sides.select("i", "j").distinct().join(a, "i").join(b, "j").selectExpr("sum(x * y)").first()[0])
+        monkeypatch.undo()
+    assert compared[1] < 12 * compared[0]  # of ten times the documents: 10,000
 
 
 def test_group_of_many_near_copies(spark):

@@ -17,8 +17,8 @@ Links are not listed pair by pair. Equal sets are one class. Every document is f
 two chosen among those of like size in its lists; what links falls together. Only then are members of
 *different* groups in a list compared, all of them, so no link between groups is lost. Pairs are
 enumerated in lists of up to ``LONG_LIST`` members only; the documents of longer lists are compared
-block by block inside tasks, which return links that connect, not pairs. Every comparison is exact on
-whole sets.
+block by block inside tasks, blocks that share such a list with each other, and return links that connect, not pairs.
+Every comparison is exact on whole sets.
 
 Defined cases: a null, empty or separator-only text has an empty set, links with nothing and is its own
 component. Fewer words than a shingle make one element of the whole sequence. Rows that repeat a
@@ -252,6 +252,8 @@ def _cross_pairs(short: DataFrame, boundary: int) -> DataFrame:
 def _linked_in_block(table: pa.Table) -> pa.Table:
     """Links (a, b) that connect what is linked among the documents of one or two blocks."""
     ids, block = table.column("id").to_numpy(), table.column("block").to_numpy()
+    if len(ids) < 2:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
     elements = table.column("elements").combine_chunks()
     sizes = np.diff(elements.offsets.to_numpy())
     _, element = np.unique(elements.flatten().to_numpy(), return_inverse=True)
@@ -276,23 +278,27 @@ def _linked_in_block(table: pa.Table) -> pa.Table:
 
 
 def _block_links(docs: DataFrame, long: DataFrame) -> DataFrame:
-    """Stored links among the members of long lists. Lists that share members form a heap; its
-    documents are dealt over blocks of bounded size, and every two blocks of a heap meet in one task,
-    which returns no more links than it has documents."""
-    first = long.groupBy("key").agg(F.min("id").alias("b"))
-    heaps = components(long.join(first, "key").select(F.col("id").alias("a"), "b"))
-    members = long.select("id", "n").distinct().join(heaps.withColumnRenamed("node", "id"), "id", "left").select(
-        "id", "n", F.coalesce("root", "id").alias("heap"))
-    sizes = members.groupBy("heap").agg(
+    """Stored links among the members of long lists (key, id, n, c with ``c`` members).
+
+    A document's home is the longest of its lists; the documents of one home are dealt over blocks of bounded
+    size. Two blocks meet in one task if some long list has members in both, so lists that only hang
+    together in a chain are not compared with each other. A task returns no more links than it has documents.
+    """
+    homes = long.groupBy("id").agg(F.max(F.struct("c", "key")).alias("home"), F.max("n").alias("n"))
+    sizes = homes.groupBy("home").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
-    placed = keep(members.join(sizes, "heap").select(
-        "id", "heap", "blocks", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int").alias("block")).distinct(), "blocks")
+    homes, sizes = keep(homes, "homes"), keep(sizes, "home_sizes")
+    placed = keep(homes.join(sizes, "home").select(
+        "id", F.xxhash64("home.key", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks"))).alias("block")), "blocks")
+    touched = keep(long.join(placed, "id").select("key", "block").distinct(), "touched")
+    pairs = touched.join(touched.withColumnRenamed("block", "other"), "key").filter("block <= other").select(
+        F.col("block").alias("i"), F.col("other").alias("j")).distinct()
+    sides = keep(pairs.withColumn("block", F.explode(F.array_distinct(F.array("i", "j")))), "sides")
     sets = keep(_candidate_sets(docs, placed.select("id")), "sets")
-    met = placed.join(sets, "id").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     links = keep(
-        met.groupBy("heap", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+        placed.join(sets, "id").join(sides, "block").groupBy("i", "j")
         .applyInArrow(lambda table: _linked_in_block(table), "a long, b long"), "links")
-    forget(placed, sets)
+    forget(homes, sizes, placed, touched, sides, sets)
     release(docs.sparkSession)
     return links
 
@@ -324,7 +330,7 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     forget(members)
     counts = keep(grouped.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "counts")
     short = grouped.join(counts.filter(F.col("c") <= LONG_LIST).select("key"), "key", "left_semi")
-    long = grouped.join(counts.filter(F.col("c") > LONG_LIST).select("key"), "key", "left_semi")
+    long = grouped.join(counts.filter(F.col("c") > LONG_LIST), "key")
     short_links = _verified(docs, _cross_pairs(short, boundary))
     long_links = _block_links(docs, long)
     forget(grouped)
@@ -337,8 +343,15 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of every group; all columns stay. Of rows that repeat an
-    id one stays; rows with a null id can't be told apart and stay."""
-    firsts = similarity_groups(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct()
-    kept = docs.join(firsts, docs["doc_id"] == F.col("__first"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """One document of every group; all columns stay.
+
+    Rows are told apart by id and text, so texts that share an id, or have none, are judged each for itself. Of a group
+    the row with the smallest id stays, of equal ids that with the smaller hash; null ids come last. Rows equal in id and
+    text are one document, of which one row stays. Equality of id and text is equality of a 64-bit hash.
+    """
+    key = F.xxhash64("doc_id", F.col("text").cast("string"))
+    groups = similarity_groups(docs.select(key.alias("doc_id"), "text")).select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    named = docs.select(key.alias("__key"), "doc_id").distinct()
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__key")
+    first = groups.join(named, "__key").groupBy("component_id").agg(F.min(order).alias("first")).select("first.__key")
+    return docs.withColumn("__key", key).join(keep(first, "firsts"), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
