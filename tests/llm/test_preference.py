@@ -43,3 +43,17 @@ def test_pairs(spark):
     assert swapped[0]["rejected_text"] == "<|assistant|>\nelse<|end|>\n"
     for make in (preference.pairs_by_opening, preference.pairs_by_answer):
         assert preference.formatted(make(frame.limit(0))).count() == 0
+
+
+def test_openings_are_role_and_text(spark):
+    rows = [(1, 0, "a\nb", "c", "c", 1), (2, 0, "a", "b\nc", "c", 1), (3, 0, "1:a", "b", "c", 1), (4, 0, "1", "ab", "c", 1),
+            (1, 1, "assistant", "x", "c", 1), (2, 1, "assistant", "y", "c", 1), (3, 1, "assistant", "z", "c", 1)]
+    assert preference.pairs_by_opening(spark.createDataFrame(rows, TURNS)).count() == 0
+
+
+def test_a_hot_opening_can_be_split(spark):
+    rows = [(i, k, *T[k % 4], "c", 1) for i in range(60) for k in range(1 + i % 3)]
+    pairs = preference.pairs_by_opening(spark.createDataFrame(rows, TURNS))
+    assert pairs.count() == 40
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan, plan  # the joins read stored tables

@@ -39,10 +39,12 @@ def conversations(turns: DataFrame) -> DataFrame:
 
 def pairs_by_opening(turns: DataFrame) -> DataFrame:
     """(chosen_id, rejected_id, chosen, rejected) of conversations with the same first turn."""
-    opening = F.sha2(F.concat_ws("\n", F.col("turns")[0]["role"], F.col("turns")[0]["text"]), 256)
-    whole = conversations(turns).withColumn("opening", opening)
+    first = F.col("turns")[0]
+    # the role's length keeps (role, text) apart however they are cut
+    opening = F.sha2(F.concat_ws(":", F.length(first["role"]).cast("string"), F.concat(first["role"], first["text"])), 256)
+    whole = keep(conversations(turns).withColumn("opening", opening), "conversations")
     firsts = whole.groupBy("opening").agg(F.min("conv_id").alias("chosen_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    # stored, so that the join is of two plain shuffles and a hot opening can be split
+    # both stored, so that the joins are of plain shuffles and a hot opening or chosen conversation can be split
     rejected = whole.join(keep(firsts.drop("n"), "openings"), "opening").filter("conv_id != chosen_id").select(
         "chosen_id", F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
     chosen = whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))

@@ -8,7 +8,7 @@ and definitions in ``svg`` and annotations in ``math``, whose other text is inli
 ``visibility:hidden`` all but the descendants that are ``visible`` again. Style sheets and classes aren't
 followed. Of the rest all text is emitted: blocks on lines of their own, a blank line around paragraphs and headings, list items
 with marks and indents, preformatted text as it is, table cells in aligned columns (``MAX_CELL``: wider
-cells don't widen their column).
+lines don't widen their column), each with its lines below one another and clear of cells that span rows.
 
 Each page is handled on its own, in time and memory in proportion to its length.
 
@@ -30,6 +30,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from waybill.llm.words import row_chunks
 
 MAX_CELL = 40
+MAX_COLUMNS = 64  # cells beyond reach into no row below, so a page takes linear time
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset("head script style template title noscript iframe noembed noframes audio video canvas object datalist".split())
@@ -58,6 +59,7 @@ _COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 _DECLARATION = re.compile(r"""(?:[^;"'()]++|"[^"]*+"|'[^']*+'|\([^()]*+\)|["'()])++""")  # a semicolon in quotes or brackets ends none
 _START = re.compile(r"""start\s*=\s*["']?(\d{1,9})""", re.I)
 _SPAN = re.compile(r"""colspan\s*=\s*["']?(\d{1,3})""", re.I)
+_DOWN = re.compile(r"""rowspan\s*=\s*["']?(\d{1,5})""", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -140,7 +142,8 @@ def tree(html: str) -> Node:
             continue
         if name in RAW:
             end = re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
-            node.children.append(html[at : end.start() if end else size])
+            raw = html[at : end.start() if end else size]
+            node.children.append(unescape(raw) if name == "textarea" else raw)
             at = end.end() if end else size
             continue
         stack.append(node)
@@ -208,22 +211,43 @@ def _shown(node: Node, visible: bool) -> bool | None:
     return {"hidden": False, "collapse": False, "visible": True, "initial": True}.get(style.get("visibility"), visible)
 
 
-def _aligned(rows: list[list[tuple[str, int]]]) -> list[str]:
-    widths: list[int] = []
-    for row in rows:
-        column = 0
-        for text, span in row:
-            widths += [0] * (column + 1 - len(widths))
-            if span == 1 and len(text) <= MAX_CELL:
-                widths[column] = max(widths[column], len(text))
-            column += span
+def _placed(rows: list[list[tuple]]) -> list[list[tuple[int, list[str], int]]]:
+    """Rows of (column, lines, columns spanned): cells move right of those that reach down from rows above."""
+    taken: dict[int, int] = {}  # column: first row below in which it is free
     out = []
-    for row in rows:
-        line, column = [], 0
-        for text, span in row:
-            line.append(text.ljust(sum(widths[column : column + span]) + 3 * (span - 1)))
+    for r, row in enumerate(rows):
+        column, cells = 0, []
+        for lines, span, down in row:
+            while taken.get(column, 0) > r:
+                column += 1
+            cells.append((column, lines, span))
+            if down != 1:
+                for c in range(column, min(column + span, MAX_COLUMNS)):
+                    taken[c] = r + down if down else len(rows)
             column += span
-        out.append(" | ".join(line).rstrip())
+        out.append(cells)
+    return out
+
+
+def _aligned(rows: list[list[tuple]]) -> list[str]:
+    """Lines of a table's rows; a cell is (lines, columns spanned, rows spanned or 0 for all that follow)."""
+    placed, widths = _placed(rows), []
+    for row in placed:
+        for column, lines, span in row:
+            widths += [0] * (column + 1 - len(widths))
+            if span == 1:
+                widths[column] = max(widths[column], max((len(t) for t in lines if len(t) <= MAX_CELL), default=0))
+    out = []
+    for row in placed:
+        for k in range(max([1, *(len(lines) for _, lines, _ in row)])):
+            line, at, end = [], 0, 0
+            for column, lines, span in row:
+                line += [" " * (widths[c] if c < len(widths) else 0) for c in range(at, column)]
+                text = lines[k] if k < len(lines) else ""
+                line.append(text.ljust(sum(widths[column : column + span]) + 3 * (span - 1)))
+                at = column + span
+                end = len(line) if text or not k else end
+            out.append(" | ".join(line[:end]).rstrip())
     return out
 
 
@@ -290,15 +314,14 @@ def render(html: str | None) -> str:
             continue
         if tag in ("td", "th", "caption") and tables:
             out.line()
-            text = " ".join(filter(None, (x.strip() for x in out.lines)))
             outs.pop()
             if tag == "caption":
-                outs[-1].put(text)
+                outs[-1].put(" ".join(filter(None, (x.strip() for x in out.lines))))
             else:
-                span = _SPAN.search(node.marks)
+                span, down = _SPAN.search(node.marks), _DOWN.search(node.marks)
                 if not tables[-1]:
                     tables[-1].append([])
-                tables[-1][-1].append((text, max(1, int(span[1])) if span else 1))
+                tables[-1][-1].append((out.lines, max(1, int(span[1])) if span else 1, int(down[1]) if down else 1))
             continue
         if tag in inside:
             inside[tag] -= 1
@@ -309,7 +332,7 @@ def render(html: str | None) -> str:
         if tag == "table":
             for line in _aligned([r for r in tables.pop() if r]):
                 out.put(line)
-        elif tag == "tr" and not visible and tables and tables[-1] and not any(text for text, _ in tables[-1][-1]):
+        elif tag == "tr" and not visible and tables and tables[-1] and not any(lines for lines, _, _ in tables[-1][-1]):
             tables[-1].pop()
         elif tag == "pre":
             verbatim -= 1
@@ -328,7 +351,8 @@ def render(html: str | None) -> str:
 
 def rendered(pages: DataFrame, html: str = "html", text: str = "text", blocks: str = "n_blocks") -> DataFrame:
     """``pages`` with the visible text of the whole page and its number of blocks (runs of lines
-    between blank ones)."""
+    between blank ones). Columns named like these two are replaced."""
+    pages = pages.select(*(c for c in pages.columns if c not in (text, blocks) or c == html))
     schema = StructType(pages.schema.fields + [StructField(text, StringType()), StructField(blocks, LongType())])
     place = pages.columns.index(html)
 

@@ -101,10 +101,12 @@ def record(row: dict, date: str) -> bytes:
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Writes the archives below ``path``; the stored manifest (path, records) names the files."""
-    groups = originals(pages, min_bytes)
+    # stored, so that the join is of two plain shuffles and a hot payload can be split
+    groups = keep(originals(pages, min_bytes), "originals")
     rows = with_digest(pages)
     usable = F.when(F.col("payload_bytes") >= min_bytes, F.col("payload_digest"))
     joined = rows.withColumn("key", usable).join(groups.withColumnRenamed("payload_digest", "key"), "key", "left").drop("key")
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
@@ -164,7 +166,7 @@ def parse(member: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the files in a manifest, payloads checked against their digests."""
+    """The records of the files in a manifest, payloads checked against their digests; about a task a file."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
@@ -194,7 +196,9 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return manifest.select("path").repartition(F.col("path")).mapInArrow(read, _RECORDS)
+    # with a number of partitions, as adaptive execution would put the few rows of a manifest into one task
+    files = max(1, manifest.count())
+    return manifest.select("path").repartition(files, "path").mapInArrow(read, _RECORDS)
 
 
 def resolved(records: DataFrame) -> DataFrame:
@@ -203,7 +207,8 @@ def resolved(records: DataFrame) -> DataFrame:
     responses = records.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"),
         F.col("payload_bytes").alias("original_bytes"), F.col("payload").alias("original_payload"))
-    whole = records.join(responses.dropDuplicates(["refers_to_record"]), "refers_to_record", "left")
+    responses = keep(responses.dropDuplicates(["refers_to_record"]), "responses")  # stored, as hot ones are split then
+    whole = records.join(responses, "refers_to_record", "left")
     return whole.select("page_id", "url", F.coalesce("payload_bytes", "original_bytes").alias("payload_bytes"), "payload_digest",
                         "record_type", "refers_to", F.coalesce("payload", "original_payload").alias("payload"))
 
