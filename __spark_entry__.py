@@ -16,9 +16,9 @@ from waybill import fixtures, schemas
 from waybill.functions.text import base_name, status_label
 from waybill.functions.times import filename_timestamp
 from waybill.operators import events as ev, merge, movement as mv, quality, silver as sv
-from waybill.plans import gold, monitoring, refresh as rf, serving
+from waybill.plans import gold, incremental, monitoring, refresh as rf, serving
 from waybill.session import hand_over, scratch_path, use_utc
-from waybill.sources import sinks, snapshots, streams, tables
+from waybill.sources import buckets, sinks, snapshots, streams, tables
 from waybill.streaming import jobs
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -132,23 +132,26 @@ def _latest_vehicle_state_stream(spark, d):
     return _keyed_stream_result(spark, jobs.latest_vehicle_state(_parsed_stream(spark, d)), "vehicle_id")
 
 
-def _silver_stream(spark, d):
+def _silver_stream(spark, d, source=_records_stream):
+    records = source(spark, d)
     out, state = scratch_path(spark, "silver"), scratch_path(spark, "state")
-    _run(jobs.silver_stream(_records_stream(spark, d), out, state, ONCE))
+    _run(jobs.silver_stream(records, out, state, ONCE))
     return tables.table_scan(spark, out, schemas.STREAMING_SILVER).drop("event_date")
 
 
-def _quality_stream(spark, d, part: str):
+def _quality_stream(spark, d, part: str, source=_records_stream):
+    records = source(spark, d)
     silver, refused, state = (scratch_path(spark, n) for n in ("silver", "quarantine", "state"))
-    _run(jobs.quality_stream(_records_stream(spark, d), silver, refused, state, ONCE))
+    _run(jobs.quality_stream(records, silver, refused, state, ONCE))
     if part == "silver":
         return sinks.read_batches(spark, silver).select(*schemas.STREAMING_SILVER.fieldNames())
     return sinks.read_batches(spark, refused).select("kafka_partition", "kafka_offset", "validation_error")
 
 
-def _bronze_stream(spark, d):
+def _bronze_stream(spark, d, source=_records_stream):
+    records = source(spark, d)
     out, state = scratch_path(spark, "bronze"), scratch_path(spark, "state")
-    _run(jobs.bronze_stream(_records_stream(spark, d), out, state, ONCE))
+    _run(jobs.bronze_stream(records, out, state, ONCE))
     line = "event_version int, vehicle_id string, latitude double, kafka_partition int, kafka_offset bigint, bronze_ingestion_timestamp string"
     return spark.read.text(out).select(F.from_json("value", line).alias("e")).select(
         "e.event_version", "e.vehicle_id", "e.latitude", "e.kafka_partition", "e.kafka_offset",
@@ -192,6 +195,53 @@ def _latest_stream_restart(spark, d):
     return sinks.read_merged(spark, out, schemas.LATEST_POSITIONS).drop("updated_at")
 
 
+def _latest_stream_bucketed(spark, d):
+    halves, out = _halves(spark, d), scratch_path(spark, "latest")
+    for half in halves:
+        _run(jobs.latest_stream_bucketed(half, out, scratch_path(spark, "state"), ONCE, buckets=16))
+    return buckets.read(spark, out, schemas.LATEST_POSITIONS).drop("updated_at")
+
+
+def _late_stream(spark, d):
+    """A stream of several files, a batch each, in which some rows come much too late."""
+    stored = scratch_path(use_utc(spark), "records")
+    fixtures.write_in_order(fixtures.late_records(spark, d), stored)
+    return streams.event_source(spark, "parquet", path=stored, maxFilesPerTrigger="1")
+
+
+def _parsed_late(spark, d):
+    return ev.parse_events(ev.kafka_decode(_late_stream(spark, d)))
+
+
+def _latest_vehicle_state_restart(spark, d):
+    """The query ends in the middle of its input and goes on from its checkpoint, late rows on both sides."""
+    stored, out, state = (scratch_path(use_utc(spark), n) for n in ("records", "keyed", "state"))
+    records = fixtures.late_records(spark, d)
+    for first, last in ((0, 3), (4, 7)):
+        part = scratch_path(spark, "part")
+        fixtures.write_in_order(records.filter(F.col("file_no").between(first, last)), part)
+        for number in range(first, last + 1):
+            files, folder = sinks.folder(spark, f"{part}/file_no={number}")
+            if files.exists(folder):
+                _, target = sinks.folder(spark, f"{stored}/file_no={number}")
+                files.mkdirs(target.getParent())
+                files.rename(folder, target)
+        stream = streams.event_source(spark, "parquet", path=stored, maxFilesPerTrigger="1")
+        parsed = ev.parse_events(ev.kafka_decode(stream))
+        _run(jobs.keyed_stream(jobs.latest_vehicle_state(parsed), out, state, ONCE))
+    return gold.latest_by(sinks.read_batches(spark, out), ["vehicle_id"], ["write"]).drop("write")
+
+
+def _snapshot_stream(spark, d):
+    """Snapshots of the earlier part, then those of the later one beside them, under one checkpoint."""
+    root, out, state = (scratch_path(use_utc(spark), n) for n in ("snapshots", "decoded", "state"))
+    early = F.coalesce(F.col("vehicle_timestamp") < F.lit(SPLIT), F.lit(True))
+    for k, part in enumerate((early, ~early)):
+        fixtures.write_snapshots(_positions(spark, d).filter(part), f"{root}/{k}")
+        _run(jobs.snapshot_history(snapshots.snapshot_stream(spark, root, 200), out, state, ONCE))
+    return sinks.read_batches(spark, out).drop("write")
+
+
 # -- files ----------------------------------------------------------------------------
 
 def _snapshot_files(spark, d):
@@ -263,11 +313,26 @@ def _write_merged(spark, d):
 
 
 def _append_metrics(spark, d):
+    """Two runs, the first of them twice."""
     path = scratch_path(spark, "metrics")
     positions = _positions(spark, d)
-    for part, name in ((_before(positions), "before"), (_since(positions), "since")):
-        sinks.append_metrics(monitoring.table_observability(part, name), path)
-    return spark.read.parquet(path)
+    for part, name in ((positions, "before"), (_since(positions), "since"), (_before(positions), "before")):
+        sinks.append_metrics(monitoring.table_observability(part, name), path, run=name)
+    return sinks.read_metrics(spark, path).drop("run")
+
+
+def _incremental(spark, d, update, schema):
+    """A gold table from the earlier part of silver, brought up to date by the later one."""
+    silver, out = scratch_path(use_utc(spark), "silver"), scratch_path(spark, "gold")
+    rows = hand_over(_silver(spark, d))
+    for part in (_before(rows), _since(rows)):
+        incremental.append_silver(part, silver)
+        update(part, spark.read.parquet(silver), out)
+    return incremental.read_parts(spark, out, schema(rows).schema)
+
+
+def _silver_write_profile(spark, d):
+    return gold.silver_with_profile(_positions(spark, d), scratch_path(spark, "silver"))
 
 
 def _publish_events(spark, d):
@@ -537,6 +602,23 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_stream": _latest_stream,
         "history_stream_restart": _history_stream_restart,
         "latest_stream_restart": _latest_stream_restart,
+        "latest_stream_bucketed": _latest_stream_bucketed,
+        "events_per_minute_late": lambda s, d: _keyed_stream_result(
+            s, jobs.events_per_minute(_parsed_late(s, d)), "window_start"),
+        "latest_vehicle_state_restart": _latest_vehicle_state_restart,
+        "silver_stream_batches": lambda s, d: _silver_stream(s, d, _late_stream),
+        "quality_stream_batches": lambda s, d: _quality_stream(s, d, "silver", _late_stream),
+        "quality_stream_batches_quarantine": lambda s, d: _quality_stream(s, d, "quarantine", _late_stream),
+        "bronze_stream_batches": lambda s, d: _bronze_stream(s, d, _late_stream),
+        "snapshot_stream": _snapshot_stream,
+        # brought up to date
+        "hourly_activity_incremental": lambda s, d: _incremental(
+            s, d, incremental.update_hourly_activity, gold.hourly_vehicle_activity),
+        "snapshot_metrics_incremental": lambda s, d: _incremental(
+            s, d, incremental.update_snapshot_metrics, gold.snapshot_metrics),
+        "silver_write_profile": _silver_write_profile,
+        "movement_write_profile": lambda s, d: _rounded(
+            gold.movement_with_profile(_movement(s, d), scratch_path(s, "movement")), "total_distance_km", "average_speed_kmh"),
     }
 
 

@@ -248,6 +248,20 @@ SELECT date_trunc('minute', vehicle_timestamp)::TIMESTAMP AS window_start,
   date_trunc('minute', vehicle_timestamp)::TIMESTAMP + INTERVAL 1 MINUTE AS window_end, count(*) AS vehicle_events
 FROM vp WHERE vehicle_id IS NOT NULL AND vehicle_timestamp IS NOT NULL GROUP BY 1, 2"""
 
+PER_MINUTE_LATE = """
+span AS (SELECT min(epoch_us(vehicle_timestamp)) AS low, max(epoch_us(vehicle_timestamp)) AS high FROM vp),
+parts AS (
+  SELECT vehicle_id, vehicle_timestamp AS event_at, date_trunc('minute', vehicle_timestamp)::TIMESTAMP AS minute, least(
+    coalesce((epoch_us(vehicle_timestamp) - low) * 8 // (high - low + 1), 0)
+      + CASE WHEN kafka_offset % 13 = 5 THEN 2 + kafka_offset % 3 ELSE 0 END, 7) AS file_no
+  FROM vp, span),
+batches AS (SELECT *, dense_rank() OVER (ORDER BY file_no) AS batch FROM parts),
+timed AS (SELECT * FROM batches WHERE vehicle_id IS NOT NULL AND event_at IS NOT NULL),
+newest AS (SELECT batch, max(epoch_ms(event_at)) AS newest_ms FROM timed GROUP BY batch),
+marks AS (
+  SELECT b.batch, max(n.newest_ms) - 120000 AS mark FROM (SELECT DISTINCT batch FROM batches) b
+  LEFT JOIN newest n ON n.batch <= b.batch - 2 GROUP BY b.batch)"""
+
 
 def _iso(column: str) -> str:
     return (f"strftime({column}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us({column}) % 1000000 = 0 THEN '' "
@@ -367,7 +381,7 @@ SELECT vehicle_id, CASE WHEN route_id IS NULL AND trip_id IS NOT NULL THEN '' EL
   (kafka_offset % 3)::VARCHAR AS vehicle_status, source_file FROM vp"""
     validated = f"SELECT {EVENT_COLUMNS}, kafka_partition, kafka_offset, kafka_timestamp FROM coded WHERE validation_error IS NULL"
 
-    return {
+    known = {
         "event_source": _with([VP], f"""
 SELECT vehicle_id AS key, kafka_partition, kafka_offset, ingestion_timestamp AS kafka_timestamp,
   length({VALUE_LENGTH})::INTEGER AS value_length FROM vp"""),
@@ -527,4 +541,19 @@ SELECT event_version, vehicle_id, latitude, kafka_partition, kafka_offset, true
         "latest_stream": _with(latest, f"SELECT {LATEST_COLUMNS} FROM latest"),
         "history_stream_restart": _with(events, f"SELECT {LATEST_COLUMNS} FROM valid"),
         "latest_stream_restart": _with(latest, f"SELECT {LATEST_COLUMNS} FROM latest"),
+        "latest_stream_bucketed": _with(latest, f"SELECT {LATEST_COLUMNS} FROM latest"),
+        # rows whose window the watermark had closed when their batch was read are dropped
+        "events_per_minute_late": _with([VP, PER_MINUTE_LATE], """
+SELECT minute AS window_start, minute + INTERVAL 1 MINUTE AS window_end, count(*) AS vehicle_events
+FROM timed JOIN marks USING (batch) WHERE mark IS NULL OR epoch_ms(minute) + 60000 > mark GROUP BY 1, 2"""),
+        "latest_vehicle_state_restart": _with([VP], state),
+        "silver_stream_batches": _with(events, "SELECT * FROM valid"),
+        "quality_stream_batches": _with(events, "SELECT * FROM valid"),
+        "quality_stream_batches_quarantine": _with(coded, """
+SELECT kafka_partition, kafka_offset, validation_error FROM coded WHERE validation_error IS NOT NULL"""),
+        "snapshot_stream": _with([VP], decoded),
+        "hourly_activity_incremental": _with(hourly, "SELECT * FROM hourly"),
+        "snapshot_metrics_incremental": _with(silver, SNAPSHOT_METRICS.format(time="vehicle_timestamp").replace("FROM vp", "FROM silver")),
     }
+    same = {"silver_write_profile": "silver_profile", "movement_write_profile": "movement_profile", "bronze_stream_batches": "bronze_stream"}
+    return known | {name: known[other] for name, other in same.items()}

@@ -80,14 +80,15 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions_of(spread_files(read_events(spark, sf_dir), "event_id"))
 
 
-def records_of(positions: DataFrame) -> DataFrame:
-    """Positions as topic records: binary key and value plus transport fields."""
+def records_of(positions: DataFrame, *more: Column) -> DataFrame:
+    """Positions as topic records: binary key and value plus transport fields, and ``more`` columns."""
     return positions.select(
         F.col("vehicle_id").cast("binary").alias("key"),
         event_json().cast("binary").alias("value"),
         F.col("kafka_partition").alias("partition"),
         F.col("kafka_offset").alias("offset"),
         F.col("ingestion_timestamp").alias("timestamp"),
+        *more,
     )
 
 
@@ -106,6 +107,27 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_of(positions_of(stream_events(spark, sf_dir)))
 
 
+def write_in_order(records: DataFrame, path: str) -> None:
+    """Records as one file per ``file_no``, modified in that order, for streams that take a file a batch."""
+    spark = records.sparkSession
+    records.repartition("file_no").write.partitionBy("file_no").parquet(path)
+    files, location = folder(spark, path)
+    found = files.listFiles(location, True)
+    while found.hasNext():
+        file = found.next().getPath()
+        if file.getParent().getName().startswith("file_no="):
+            files.setTimes(file, BASE_MICROS // 1000 + 1000 * int(file.getParent().getName()[8:]), -1)
+
+
+def late_records(spark: SparkSession, sf_dir: str, files: int = 8) -> DataFrame:
+    """Records numbered by event time into ``files`` parts, of which every 13th comes two or more parts late."""
+    rows = positions(spark, sf_dir).withColumn("_us", F.unix_micros("vehicle_timestamp"))
+    low, high = rows.agg(F.min("_us"), F.max("_us")).first()
+    part = F.coalesce(F.expr(f"((_us - {low}) * {files}) DIV ({high} - {low} + 1)"), F.lit(0))
+    late = F.when(F.col("kafka_offset") % 13 == 5, 2 + F.col("kafka_offset") % 3).otherwise(0)
+    return records_of(rows, F.least(part + late, F.lit(files - 1)).cast("int").alias("file_no"))
+
+
 def write_snapshots(positions: DataFrame, path: str) -> None:
     """Encode positions as raw feed snapshots below ``path``.
 

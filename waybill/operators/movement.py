@@ -69,9 +69,13 @@ def vehicle_movement(
 
 def movement_profile(movement: DataFrame) -> DataFrame:
     """Row count, anomalies, total distance and mean speed of a movement table."""
-    return movement.agg(
+    return movement.agg(*movement_metrics())
+
+
+def movement_metrics() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("movement_records"),
         F.count_if("is_speed_anomaly").alias("speed_anomalies"),
         F.sum("distance_km").alias("total_distance_km"),
         F.avg("speed_kmh").alias("average_speed_kmh"),
-    )
+    ]

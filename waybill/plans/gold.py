@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from waybill.functions.geo import grid
 from waybill.functions.text import base_name, decimal_text
 from waybill.functions.times import filename_timestamp, floor_hour
 from waybill.operators.latest import latest_by, top_n
 from waybill.operators.median import exact_median
+from waybill.operators.movement import movement_metrics, movement_profile
+from waybill.operators.silver import historical_silver
+from waybill.session import hand_over
 
 
 def _order_of(df: DataFrame, tie: list[str]) -> list[str]:
@@ -204,6 +207,35 @@ def silver_profile(decoded: DataFrame, silver: DataFrame) -> DataFrame:
     return both.agg(*(F.max(name).alias(name) for name in both.columns))
 
 
+def silver_with_profile(decoded: DataFrame, path: str, clean=historical_silver) -> DataFrame:
+    """Writes cleaned positions below ``path``; their ``silver_profile``, gathered while they are written.
+
+    The input is read once, to store it. Counts and times are metrics observed by the tasks that write: those run
+    in a job's last stage, of which no task counts twice when executors are lost. Distinct counts come from two
+    columns of what was written.
+    """
+    raw, kept = Observation(), Observation()
+    rows = clean(hand_over(decoded.observe(raw, F.count(F.lit(1)).alias("records"))))
+    rows.observe(
+        kept, F.count(F.lit(1)).alias("records"), F.min("vehicle_timestamp").alias("first"), F.max("vehicle_timestamp").alias("last"),
+    ).write.mode("overwrite").parquet(path)
+    spark, seen = decoded.sparkSession, kept.get
+    stored = spark.read.schema(rows.schema).parquet(path)
+    values = [(raw.get["records"], seen["records"], seen["first"], seen["last"])]
+    known = spark.createDataFrame(values, "raw_records long, clean_records long, first_time timestamp, last_time timestamp")
+    distinct = stored.agg(F.count_distinct("vehicle_id").alias("unique_vehicles"), F.count_distinct("route_id").alias("unique_routes"))
+    return known.crossJoin(distinct).select(  # one row each
+        "raw_records", "clean_records", "unique_vehicles", "unique_routes", "first_time", "last_time")
+
+
+def movement_with_profile(movement: DataFrame, path: str) -> DataFrame:
+    """Writes a movement table below ``path``; its ``movement_profile``, gathered while it is written."""
+    seen = Observation()
+    movement.observe(seen, *movement_metrics()).write.mode("overwrite").parquet(path)
+    schema = movement_profile(movement).schema
+    return movement.sparkSession.createDataFrame([tuple(seen.get[n] for n in schema.fieldNames())], schema)
+
+
 # -- unusual activity -----------------------------------------------------------------
 
 def activity_status(deviation: Column, high: float, low: float) -> Column:

@@ -45,10 +45,11 @@ def refresh(
     results = validate_route_ids(summary).unionByName(filled)
     passed = all_checks_passed(results)
     observed, fresh = table_health(events, "vehicle_positions", now)
-    append_metrics(fresh, f"{root}/freshness")
-    append_metrics(observed, f"{root}/data_quality_metrics")
+    run = now.isoformat()  # a run that is repeated for its moment replaces its rows
+    append_metrics(fresh, f"{root}/freshness", run)
+    append_metrics(observed, f"{root}/data_quality_metrics", run)
     end = datetime.now(timezone.utc)
-    append_metrics(run_record("route_activity_refresh", start, end, summary, passed), f"{root}/runs")
+    append_metrics(run_record("route_activity_refresh", start, end, summary, passed), f"{root}/runs", run)
     if not passed:
         raise RuntimeError("route_activity_summary is empty or holds blank route ids")
     return summary

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from waybill.session import hand_over
+from waybill.sources import appends, manifests
 
 VERSION = re.compile(r"/version=(\d+)(?:\.([^/]+))?$")
 WRITE = re.compile(r"/write=(\d+)\.([^/]+)$")
@@ -26,8 +28,17 @@ def write_table(
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def append_metrics(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append_metrics(df: DataFrame, path: str, run: str | None = None) -> None:
+    """Append the metrics of a run; a run that appends again replaces its own (``read_metrics``).
+    Without ``run`` every call is a run of its own."""
+    appends.append(df.withColumn("run", F.lit(run or uuid.uuid4().hex)), path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """What every run appended last, with ``run``."""
+    rows = appends.read(spark, path)
+    last = rows.groupBy("run").agg(F.max("write").alias("write"))  # a row a run
+    return rows.join(last, ["run", "write"], "left_semi").drop("write")
 
 
 def folder(spark: SparkSession, path: str):
@@ -110,7 +121,9 @@ def write_batch(df: DataFrame, path: str, source: str, partition_by: tuple[str,
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """What ``write_batch`` has committed, with the column ``write`` that orders the writes."""
+    """What ``write_batch`` or ``appends.append`` has committed, with the column ``write`` that orders the writes."""
+    if manifests.exists(spark, path):
+        return appends.read(spark, path, schema)
     names = [name for _, _, name, committed in _numbered(spark, path, WRITE) if committed]
     reader = spark.read.option("basePath", path)
     if schema is not None:

@@ -67,6 +67,20 @@ def snapshot_scan(spark: SparkSession, path: str) -> DataFrame:
     return files
 
 
+def snapshot_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Snapshot files below ``path`` as a stream with the columns of ``snapshot_scan``.
+
+    The source keeps a log of the files it has seen in the query's checkpoint, so every snapshot is
+    decoded once in its life, whatever number of runs the query has.
+    """
+    kind = "path string, modificationTime timestamp, length bigint, content binary"
+    return (
+        spark.readStream.format("binaryFile").schema(kind)
+        .option("pathGlobFilter", "*.bin").option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", str(files_per_batch)).load(path)
+    )
+
+
 def latest_snapshot_scan(spark: SparkSession, path: str) -> DataFrame:
     """The most recently modified snapshot; only its content is read.
 

@@ -23,7 +23,9 @@ from waybill.operators.events import (
 from waybill.operators.merge import NOT_OLDER, keyed_merge, not_yet_stored
 from waybill.plans.serving import latest_positions
 from waybill.schemas import LATEST_POSITIONS
-from waybill.sources.sinks import read_merged, write_batch, write_jdbc, write_merged
+from waybill.sources import appends, buckets as keyed
+from waybill.sources.sinks import read_merged, write_jdbc, write_merged
+from waybill.sources.snapshots import decode_snapshots
 
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}  # fixed default of the jobs
 HISTORY_COLUMNS = [name for name in LATEST_POSITIONS.fieldNames() if name != "updated_at"]
@@ -90,7 +92,7 @@ def latest_vehicle_state(events: DataFrame) -> DataFrame:
 def keyed_stream(
     aggregated: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write the changed rows of an aggregated stream, one folder per batch. Of the rows of a
+    """Append the changed rows of an aggregated stream to a log, batch by batch. Of the rows of a
     key the one with the largest ``write`` is the newest (``sinks.read_batches``)."""
     writer = aggregated.writeStream.outputMode("update").foreachBatch(folder_writer(path))
     return _start(writer, checkpoint, trigger)
@@ -162,8 +164,8 @@ def quality_stream(
         try:
             valid, refused = split_valid(batch)
             source = batch_source(batch, batch_id)
-            write_batch(_by_day(valid), silver, source, ("event_date",))
-            write_batch(refused, quarantine, source)
+            appends.append(_by_day(valid), silver, source, ("event_date",))
+            appends.append(refused, quarantine, source)
         finally:
             batch.unpersist()
 
@@ -173,9 +175,9 @@ def quality_stream(
 # -- tables ---------------------------------------------------------------------------
 
 def folder_writer(path: str) -> BatchWriter:
-    """Append to Parquet, a folder per batch of a query; a replayed batch replaces its folder."""
+    """Append to an append log of Parquet folders; a replayed batch that it has already does nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_source(batch, batch_id))
+        appends.append(batch, path, batch_source(batch, batch_id))
 
     return write
 
@@ -219,6 +221,14 @@ def history_stream(
     return history_of(events, writer, checkpoint, trigger)
 
 
+def snapshot_history(
+    snapshots: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Positions of a stream of snapshot files (``sources.snapshots.snapshot_stream``) in an append log;
+    a later run with the same checkpoint decodes new files only."""
+    return history_of(decode_snapshots(snapshots), folder_writer(path), checkpoint, trigger)
+
+
 def latest_stream(
     records: DataFrame, state_path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
@@ -247,6 +257,22 @@ def latest_stream(
     return _start(events.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
+def latest_stream_bucketed(
+    records: DataFrame, state_path: str, checkpoint: str, trigger: dict | None = None, buckets: int = keyed.BUCKETS
+) -> StreamingQuery:
+    """``latest_stream`` on a bucketed table: a batch rewrites the buckets of its vehicles, not the whole state.
+
+    Old folders leave by themselves once no recent manifest names them (``sources.manifests``).
+    """
+    events = streaming_silver(parse_events(kafka_decode(records)))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        keyed.upsert(latest_positions(batch), state_path, ["vehicle_id"], LATEST_POSITIONS, NOT_OLDER,
+                        source=batch_source(batch, batch_id), buckets=buckets, time="vehicle_timestamp")
+
+    return _start(events.writeStream.foreachBatch(write), checkpoint, trigger)
+
+
 # -- publishing -----------------------------------------------------------------------
 
 def publishable(events: DataFrame) -> DataFrame:
