@@ -318,12 +318,13 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     rows = digests.filter("sketch is null").drop("sketch")
     classes = rows.filter("n > 0").groupBy("n", "high", "low").agg(F.min("doc_id").alias("rep"))
 
-    prefixes = keep(_prefixes(docs, np.zeros(1 << SKETCH_BITS, np.uint32) if sketch is None else sketch), "prefixes")
+    # of equal sets one is enough; both sides of this join are plain shuffles
+    reps = keep(classes.select(F.col("rep").alias("id")).distinct(), "reps")
+    every = _prefixes(docs, np.zeros(1 << SKETCH_BITS, np.uint32) if sketch is None else sketch)
+    prefixes = keep(every.join(reps, "id", "left_semi"), "prefixes")
     boundary = _boundary(prefixes)
-    shared = _shared_postings(_postings(prefixes, boundary))
-    reps = classes.select(F.col("rep").alias("id")).distinct()
-    members = keep(shared.join(reps, "id", "left_semi"), "members")
-    forget(prefixes)
+    members = keep(_shared_postings(_postings(prefixes, boundary)), "members")
+    forget(prefixes, reps)
     release(spark)
     edges = _verified(docs, _star_pairs(members))
     grouped = keep(_grouped(members, components(edges)), "grouped")
