@@ -535,7 +535,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             mv.vehicle_movement(_silver(s, d), hot_rows=6, count_slices=True), *MOVED),
         "movement_profile": lambda s, d: _rounded(
             mv.movement_profile(_movement(s, d)), "total_distance_km", "average_speed_kmh"),
-        "route_performance": lambda s, d: _rounded(_performance(s, d), *SPEEDS),
+        "route_performance": lambda s, d: _rounded(_performance(s, d, median_by_rank=False), *SPEEDS),
         "route_performance_by_rank": lambda s, d: _rounded(
             _performance(s, d, median_by_rank=True), *SPEEDS),
         "slowest_routes": lambda s, d: _rounded(gold.slowest_routes(_performance(s, d)), *SPEEDS),

@@ -117,17 +117,17 @@ def contract_check(df: DataFrame, value: str = "value") -> DataFrame:
     """
     # generator for the same reason as in parse_events: one parse per row
     # as the one element of an array the object can't be followed by other text
-    whole = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), "array<map<string,variant>>")
-    entries = F.when(F.size(whole) == 1, F.map_entries(F.try_element_at(whole, F.lit(1))))
-    parsed = df.select("*", F.explode(F.array(entries)).alias("_fields"))
-    return parsed.withColumn("contract_ok", _contract(F.col("_fields"))).drop("_fields")
+    kinds = ", ".join(f"{name}: variant" for name in schemas.EVENT_FIELDS)
+    whole = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), f"array<struct<{kinds}>>")
+    event = F.when(F.size(whole) == 1, F.try_element_at(whole, F.lit(1)))
+    names = F.size(F.array_distinct(F.json_object_keys(value)))
+    parsed = df.select("*", F.explode(F.array(F.struct(event.alias("event"), names.alias("names")))).alias("_read"))
+    return parsed.withColumn("contract_ok", _contract(F.col("_read")["event"], F.col("_read")["names"])).drop("_read")
 
 
-def _contract(entries: Column) -> Column:
-    def last(name: str) -> Column:  # of a repeated key the last value counts
-        return F.try_element_at(F.filter(entries, lambda e: e["key"] == name), F.lit(-1))["value"]
-
-    fields = {name: last(name) for name in schemas.EVENT_FIELDS}
+def _contract(event: Column, names: Column) -> Column:
+    """Whether the fields of an event (of a repeated key the last value) obey; ``names`` counts its different keys."""
+    fields = {name: event[name] for name in schemas.EVENT_FIELDS}
     kinds = {name: F.schema_of_variant(value) for name, value in fields.items()}
 
     def text(name: str, nullable: bool = False) -> Column:
@@ -141,7 +141,7 @@ def _contract(entries: Column) -> Column:
         return (kinds[name] == "VOID") | number(name, lambda x: x.between(*bounds))
 
     rules = [
-        F.size(F.array_distinct(F.transform(entries, lambda e: e["key"]))) == len(schemas.EVENT_FIELDS),
+        names == len(schemas.EVENT_FIELDS),
         number("event_version", lambda x: x == schemas.EVENT_VERSION),
         text("event_type") & (fields["event_type"].try_cast("string") == schemas.EVENT_TYPE),
         text("vehicle_id") & (F.length(fields["vehicle_id"].try_cast("string")) >= 1),

@@ -30,7 +30,7 @@ def exact_median(
     position = F.floor((F.col("_value") - low) / F.lit((high - low) / fine_bins))
     rows = rows.withColumn("_bin", F.least(F.greatest(position, F.lit(0)), F.lit(fine_bins - 1)))
 
-    fine = hand_over(rows.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_rows")))
+    fine = rows.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_rows"))  # its shuffle serves both readers
     group = Window.partitionBy(*keys)
     coarse = fine.groupBy(*keys, F.expr(f"_bin div {bins}").alias("_coarse")).agg(F.sum("_rows").alias("_rows"))
     coarse = coarse.withColumn("_total", F.sum("_rows").over(group)).select(
@@ -39,9 +39,9 @@ def exact_median(
     )
     middle = _around_the_middle(coarse, keys, [], "_coarse").drop("_upto")
     inner = fine.withColumn("_coarse", F.expr(f"_bin div {bins}")).join(middle, [*keys, "_coarse"])
-    targets = hand_over(_around_the_middle(inner, keys, ["_coarse"], "_bin").drop("_upto"))
+    targets = _around_the_middle(inner, keys, ["_coarse"], "_bin").drop("_upto")
 
-    # (keys, bin) of the targets, and the values in them counted; both stored
+    # the values in the target bins counted, stored
     counts = hand_over(_values_in(rows, targets, keys))
     while (largest := _most_distinct(counts, keys)) > crowded:
         narrowed = _divided(counts, keys, bins)
