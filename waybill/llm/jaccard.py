@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from waybill.llm.components import components
-from waybill.llm.tables import forget, keep, may_contain, membership, release, summed
+from waybill.llm.tables import forget, keep, may_contain, membership, release, remembered, summed
 from waybill.llm.words import WHITE_SPACE, flat_bytes, gram_hashes, lists, mix, row_chunks, text_of, word_hashes
 
 SHINGLE = 5
@@ -83,12 +83,13 @@ def _slot(values: np.ndarray) -> np.ndarray:
 def _digests(docs: DataFrame) -> DataFrame:
     """Per document its set's size and 128-bit digest; per partition one row with its sketch."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("jaccard")
         names = ["doc_id", "n", "high", "low", "sketch"]
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         for whole in batches:
             for batch in row_chunks(whole, "text"):
                 values, counts = _sets(batch)
-                sketch += np.bincount(_slot(values), minlength=len(sketch)).astype(np.uint32)
+                np.add.at(sketch, _slot(values), np.uint32(1))
                 bounds = np.concatenate([[0], np.cumsum(counts)])
                 sums = []
                 for salt in (1, 2):
@@ -117,6 +118,7 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((sketch, ranks))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("jaccard")
         counted, rank = shared.value
         for whole in batches:
             for batch in row_chunks(whole, "text"):
@@ -179,6 +181,7 @@ def _candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     bitmap = docs.sparkSession.sparkContext.broadcast(membership(ids.select(F.xxhash64("id"))))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("jaccard")
         for whole in batches:
             hashes = whole.column("h").to_numpy(zero_copy_only=False)
             picked = whole.filter(pa.array(may_contain(bitmap.value, hashes)))

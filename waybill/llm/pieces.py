@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
+from waybill.llm.tables import remembered
 from waybill.llm.words import row_chunks
 
 SPACE = "▁"
@@ -203,15 +204,9 @@ class _Encoder:
         return ids, "".join([f[1] for f in found]).removeprefix(" ")
 
 
-_ENCODERS: dict[Vocabulary, _Encoder] = {}
-
-
 def _encoder(vocabulary: Vocabulary) -> _Encoder:
     """One per worker process, so that what it remembers serves all its tasks."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[vocabulary] = _Encoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    return remembered(vocabulary, lambda: _Encoder(vocabulary))
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:

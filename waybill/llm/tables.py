@@ -2,18 +2,37 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from waybill.session import scratch_path
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs started within hand Python few rows at a time, so that batches of texts take little memory on either side."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     kept.shared_path = path
     return kept
@@ -34,6 +53,22 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+_REMEMBERED: dict = {}
+
+
+def remembered(owner, make=dict):
+    """What this worker process keeps between tasks for ``owner``. It keeps one thing at a time: what another owner
+    left is dropped, and its memory given back, as processes serve one job after the other."""
+    if owner not in _REMEMBERED:
+        _REMEMBERED.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+        _REMEMBERED[owner] = make()
+    return _REMEMBERED[owner]
+
+
 def summed(parts: DataFrame, dtype, join=np.add) -> np.ndarray | None:
     """Element-wise sum of equally long arrays, one binary row a partition, through a tree.
 
@@ -61,8 +96,6 @@ def membership(values: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
     """A Bloom filter of one column of mixed 64-bit values. Its size is fixed (2 MB), so it can be
     broadcast whatever the number of values; a full one lets more pass and loses nothing."""
     def part(batches):
-        import pyarrow as pa
-
         found = np.zeros(1 << bits, bool)
         for batch in batches:
             for slot in _slots(batch.column(0).to_numpy(zero_copy_only=False), bits):
