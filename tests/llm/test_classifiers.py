@@ -134,6 +134,18 @@ def test_toxicity_without_labels(spark, toxic_rows):
 
 # -- quality ----------------------------------------------------------------------------
 
+def test_frequencies_count_all_documents(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [f"text {i} " + "zz " * (i % 3) for i in range(90)] + [None, "", "x" * 300_000]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, y int").repartition(4)
+    bag = quality.bags(pa.array(texts, pa.string()))
+    assert (quality.frequencies(docs) == np.append((bag > 0).sum(0), len(texts))).all()
+    none = quality.frequencies(docs.filter("false"))
+    assert none is None or not none.any()
+
+
 def test_voting_equals_plain_arithmetic():
     """Blocked cosine votes against one computed document by document."""
     import numpy as np
@@ -143,7 +155,7 @@ def test_voting_equals_plain_arithmetic():
     texts = [" ".join(rnd.choice(["alpha", "beta", "gamma", "delta###", "eps***"]) for _ in range(rnd.randint(1, 60))) for _ in range(700)]
     labels = np.array([t.count("#") + t.count("*") < 40 for t in texts[:120]], np.float32)
     bag = quality.bags(pa.array(texts))
-    space = quality.fit(bag[:120], labels)
+    space = quality.fit(bag[:120], labels, np.append((bag > 0).sum(0), len(bag)))
     got = space.score(bag)
     rate = labels.mean()
     for i in range(0, 700, 7):

@@ -2,7 +2,7 @@
 
 A text is a bag of hashed byte trigrams and of a few marks of its shape (``_shape``: how varied its words are, how
 much of it is letters, capitals, repeated lines), with logarithmic counts, inverse document
-frequencies and unit length. A truncated singular value decomposition of a bounded sample of
+frequencies in all documents and unit length. A truncated singular value decomposition of a bounded sample of
 labelled documents gives the latent space. The sample's latent vectors and labels, at most
 ``bound`` rows of ``RANK`` numbers, are broadcast. Every document's cosines with all of them are
 computed exactly, block by block; the ``VOTERS`` nearest vote with weights that rise with
@@ -24,10 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from waybill.llm.labelled import training_sample
+from waybill.llm.tables import summed
 from waybill.llm.words import flat_bytes, row_chunks
 
 BUCKETS = 4096
@@ -110,11 +111,24 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def fit(bag: np.ndarray, labels: np.ndarray, rank: int = RANK, passes: int = 4) -> Space:
-    """The latent space of a labelled sample, by subspace iteration."""
+def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray | None:
+    """In how many of all documents each bucket and shape occurs; the number of documents comes last."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS + SHAPES + 1, np.int64)
+        for whole in batches:
+            for batch in row_chunks(whole, "text"):
+                total[:-1] += (bags(batch.column("text")) > 0).sum(0)
+                total[-1] += len(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+
+    return summed(docs.select(F.col(text).cast("string").alias("text")).mapInArrow(run, "part binary"), np.int64)
+
+
+def fit(bag: np.ndarray, labels: np.ndarray, seen: np.ndarray, rank: int = RANK, passes: int = 4) -> Space:
+    """The latent space of a labelled sample, by subspace iteration; ``seen`` as ``frequencies`` gives it."""
     if not len(bag):
         return Space(np.zeros(0, np.float32), np.zeros((0, 0), np.float32), np.zeros((0, 0), np.float32), labels)
-    weights = np.log((1 + len(bag)) / (1 + (bag > 0).sum(0))).astype(np.float32) + np.float32(0.1)
+    weights = np.log((1 + seen[-1]) / (1 + seen[:-1])).astype(np.float32) + np.float32(0.1)
     x = _unit(bag.astype(np.float32) * weights)
     q = np.random.default_rng(0).standard_normal((x.shape[1], min(rank + 16, *x.shape))).astype(np.float32)
     for _ in range(passes):
@@ -124,7 +138,7 @@ def fit(bag: np.ndarray, labels: np.ndarray, rank: int = RANK, passes: int = 4)
     return Space(weights, basis, _unit(x @ basis), labels)
 
 
-def learn(sample: DataFrame) -> Space:
+def learn(sample: DataFrame, seen: np.ndarray) -> Space:
     """The space of a bounded training sample (text, y); its bags are collected, 4 KB a row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -134,12 +148,13 @@ def learn(sample: DataFrame) -> Space:
 
     rows = sorted((bytes(r["bag"]), r["y"]) for r in sample.mapInArrow(run, "bag binary, y int").collect())
     bag = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(len(rows), BUCKETS + SHAPES)
-    return fit(bag, np.array([r[1] for r in rows], np.float32))
+    return fit(bag, np.array([r[1] for r in rows], np.float32), seen)
 
 
 def scored(docs: DataFrame, space: Space, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with column ``name``: 0 to 1, higher for likelier label 1."""
+    """``docs`` with column ``name``: 0 to 1, higher for likelier label 1. A column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(space)
+    docs = docs.drop(name)
     schema = StructType(docs.schema.fields + [StructField(name, DoubleType())])
     place = docs.columns.index(text)
 
@@ -153,5 +168,8 @@ def scored(docs: DataFrame, space: Space, text: str = "text", name: str = "score
 
 
 def quality_model(docs: DataFrame, labels: DataFrame, learn_from: Column, bound: int = 4_000) -> Space:
-    """Learned from about ``bound`` labelled documents at most; their vectors are the neighbours."""
-    return learn(training_sample(docs, labels, "quality", learn_from, bound))
+    """Learned from about ``bound`` labelled documents at most, whose vectors are the neighbours; terms are
+    weighted by their frequencies in all documents."""
+    sample = training_sample(docs, labels, "quality", learn_from, bound)
+    seen = frequencies(docs)
+    return learn(sample, np.zeros(BUCKETS + SHAPES + 1, np.int64) if seen is None else seen)
