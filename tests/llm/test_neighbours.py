@@ -55,6 +55,16 @@ def test_cases(spark):
     assert [v for v, _ in got[150]] == [100, 101, 102, 103, 104]
 
 
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e-310])
+def test_very_large_and_small_components(spark, size):
+    x = np.random.default_rng(3).standard_normal((60, 6))
+    table = spark.createDataFrame([(i, (v * size).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = neighbours.nearest(table, lambda v: v % 50 == 0).collect()
+    want = brute(np.arange(60), x, lambda v: v % 50 == 0)
+    assert {q: [v for v, _ in g] for q, g in found(rows).items()} == {q: [v for v, _ in w] for q, w in want.items()}
+    assert all(r["score"] == pytest.approx(dict(want[r["query_id"]])[r["vec_id"]], abs=1e-9 if size > 1e-300 else 1e-6) for r in rows)
+
+
 @pytest.mark.parametrize("size", [0, 1, 2, 4])
 def test_few_vectors(spark, size):
     x = np.eye(4)[:size] + 0.1 * np.arange(4)
@@ -80,7 +90,8 @@ def test_search_goes_on_until_nothing_is_left(spark):
     """On a path of nodes each step reaches one more; the query is at the far end of it."""
     turn = np.linspace(0, np.pi / 2, 28)
     units = [v.tobytes() for v in np.column_stack([np.cos(turn), np.sin(turn)]).astype(np.float32)]
-    nodes = spark.createDataFrame(list(enumerate(units)), "node long, unit binary")
+    short = [np.rint(127 * np.frombuffer(u, np.float32)).astype(np.int8).tobytes() for u in units]
+    nodes = spark.createDataFrame([(i, u, short[i]) for i, u in enumerate(units)], "node long, unit binary, short binary")
     edges = spark.createDataFrame([(a, b) for a in range(28) for b in (a - 1, a + 1) if 0 <= b < 28], "node long, other long")
     index = neighbours.Index(nodes, nodes.limit(0), edges, 1 << 40, [])  # so many that no node is an entry
     queries = spark.createDataFrame([(0, units[-1], 0)], "q long, unit binary, own long")

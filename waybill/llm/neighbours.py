@@ -5,7 +5,8 @@ signs under random projections. Then rounds of NN-descent: every node introduces
 and those it is a neighbour of, to each other; pairs of which one is new are compared, and each node
 keeps its ``DEGREE`` best. A round is a join of edges with vectors, a local comparison per node, and
 a join of what improves. Rounds go on until fewer than ``SETTLED`` of the edges change; a caller's limit
-on them that ends them sooner is warned of. Sign bits grow with the number of vectors, so that blocks stay as fine.
+on them that ends them sooner is warned of. Along edges travel vectors of 8-bit integers: they only choose what is
+compared exactly in the end. Sign bits grow with the number of vectors, so that blocks stay as fine.
 
 A search keeps the best ``BEAM`` nodes found for each query, starting from a bounded, broadcast sample
 of entry nodes and from the query's own node if it is in the index. Each step expands the best
@@ -49,8 +50,15 @@ def _stack(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.float32).reshape(len(rows), -1)
 
 
+def _short(column: pa.Array) -> np.ndarray:
+    """Unit float32 vectors from a binary column of 8-bit ones, as rows."""
+    rows = column.to_pylist()
+    x = np.frombuffer(b"".join(rows), np.int8).reshape(len(rows), -1).astype(np.float32)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def _prepared(vectors: DataFrame, vector: str) -> DataFrame:
-    """(id, raw, unit): original doubles and unit float32, for vectors that take part."""
+    """(id, raw, unit, short): original doubles, unit float32 and 8-bit integers, for vectors that take part."""
     values = F.transform(F.col(vector), lambda v: v.cast("double"))
     rows = vectors.select(F.col("vec_id").cast("long").alias("id"), values.alias("v")).filter("id is not null and size(v) > 0")
     sound = F.forall("v", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists("v", lambda v: v != 0)
@@ -65,11 +73,11 @@ def _prepared(vectors: DataFrame, vector: str) -> DataFrame:
             raw = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
             scaled = raw / np.abs(raw).max(1, keepdims=True)
             unit = (scaled / np.linalg.norm(scaled, axis=1, keepdims=True)).astype(np.float32)
+            short = np.rint(127 * scaled).astype(np.int8)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([r.tobytes() for r in raw], pa.binary()), pa.array([r.tobytes() for r in unit], pa.binary())],
-                ["id", "raw", "unit"])
+                [batch.column("id"), *(pa.array([r.tobytes() for r in x], pa.binary()) for x in (raw, unit, short))], ["id", "raw", "unit", "short"])
 
-    return rows.mapInArrow(encode, "id long, raw binary, unit binary")
+    return rows.mapInArrow(encode, "id long, raw binary, unit binary, short binary")
 
 
 def _best(a: np.ndarray, b: np.ndarray, sim: np.ndarray, count: int) -> np.ndarray:
@@ -110,7 +118,7 @@ def _first_edges(nodes: DataFrame, total: int, size: int) -> DataFrame:
                     [pa.array(np.full(len(batch), t, np.int32)), pa.array(codes[t]), batch.column("node")], ["t", "code", "node"])
 
     def compare(key, table):
-        ids, x = table.column("node").to_numpy(), _stack(table.column("unit"))
+        ids, x = table.column("node").to_numpy(), _short(table.column("short"))
         near = x @ x.T
         np.fill_diagonal(near, -2)
         count = min(DEGREE, len(ids) - 1)
@@ -123,7 +131,7 @@ def _first_edges(nodes: DataFrame, total: int, size: int) -> DataFrame:
     large = keep(coded.groupBy("t", "code").agg(parts.alias("parts")).filter("parts > 1"), "large")
     part = F.pmod(F.xxhash64("node", "t"), F.coalesce("parts", F.lit(1))).cast("int")
     placed = coded.join(large, ["t", "code"], "left").select("t", "code", "node", part.alias("part"))
-    split = placed.join(nodes.select("node", "unit"), "node")
+    split = placed.join(nodes.select("node", "short"), "node")
     found = split.groupBy("t", "code", "part").applyInArrow(compare, "node long, other long, sim float")
     graph = keep(_top(found.withColumn("fresh", F.lit(True))), "graph")
     forget(coded, large)
@@ -143,14 +151,14 @@ def _introduced(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     worst = graph.groupBy("node").agg(
         F.when(F.count(F.lit(1)) >= DEGREE, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
     known = nodes.join(worst, "node", "left").select(
-        F.col("node").alias("other"), "unit", F.coalesce("worst", F.lit(-2.0)).cast("float").alias("worst"))
+        F.col("node").alias("other"), "short", F.coalesce("worst", F.lit(-2.0)).cast("float").alias("worst"))
     met = _both_ways(graph).join(known, "other").repartition("node").sortWithinPartitions("node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def candidates(table: pa.Table) -> pa.RecordBatch:
             center, other = table.column("node").to_numpy(), table.column("other").to_numpy()
             fresh, worst_of = table.column("fresh").to_numpy(zero_copy_only=False), table.column("worst").to_numpy()
-            x = _stack(table.column("unit"))
+            x = _short(table.column("short"))
             cuts = np.flatnonzero(np.concatenate([[True], center[1:] != center[:-1], [True]])) if len(center) else [0]
             parts = []
             for low, high in zip(cuts[:-1], cuts[1:]):
@@ -181,7 +189,7 @@ def _introduced(graph: DataFrame, nodes: DataFrame) -> DataFrame:
         if held:
             yield candidates(pa.Table.from_batches(held))
 
-    return met.select("node", "other", "fresh", "worst", "unit").mapInArrow(compare, "node long, other long, sim float")
+    return met.select("node", "other", "fresh", "worst", "short").mapInArrow(compare, "node long, other long, sim float")
 
 
 class Index:
@@ -196,7 +204,7 @@ def build(vectors: DataFrame, vector: str = "embedding", rounds: int | None = No
     """Graph of all vectors (vec_id, ``vector``) that take part; ``rounds`` may limit the rounds."""
     spark = vectors.sparkSession
     rows = keep(_prepared(vectors, vector), "vectors")
-    values = rows.groupBy("raw").agg(F.first("unit").alias("unit"))
+    values = rows.groupBy("raw").agg(F.first("unit").alias("unit"), F.first("short").alias("short"))
     nodes = keep(values.withColumn("node", F.monotonically_increasing_id()), "nodes")
     members = keep(rows.select("id", "raw").join(nodes.select("node", "raw"), "raw").select("node", "id").distinct(), "members")
     forget(rows)
@@ -243,7 +251,7 @@ def _cosines(pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                sim = np.einsum("nd,nd->n", _stack(batch.column("x")), _stack(batch.column("y")))
+                sim = np.einsum("nd,nd->n", _stack(batch.column("x")), _short(batch.column("y")))
                 yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), pa.array(sim)], ["q", "node", "sim"])
 
     return pairs.select("q", "node", "x", "y").mapInArrow(run, "q long, node long, sim float")
@@ -262,7 +270,7 @@ def search(index: Index, queries: DataFrame) -> DataFrame:
     share, steps = min(1.0, ENTRIES / max(1, index.total)), 1 << 24
     chosen = index.nodes.filter(F.pmod(F.xxhash64("node", F.lit("entry")), F.lit(steps)) < int(share * steps) + (share == 1.0))
     beam = keep(_beam(_starts(queries, chosen.select("node", "unit").collect())), "beam")
-    vectors, asked = index.nodes.select("node", F.col("unit").alias("y")), queries.select("q", F.col("unit").alias("x"))
+    vectors, asked = index.nodes.select("node", F.col("short").alias("y")), queries.select("q", F.col("unit").alias("x"))
     while not beam.filter("now").isEmpty():
         met = beam.filter("now").select("q", "node").join(index.edges, "node").select("q", F.col("other").alias("node")).distinct()
         unseen = met.join(beam.select("q", "node"), ["q", "node"], "left_anti")
@@ -293,6 +301,8 @@ def nearest(vectors: DataFrame, is_query, count: int = 5, vector: str = "embeddi
             if not len(batch):
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.float64).reshape(len(batch), -1) for c in ("x", "y"))
+            # by powers of two, which rounds nothing: squares of very large or small components stay finite
+            x, y = (np.ldexp(v, -np.frexp(np.abs(v).max(1, keepdims=True))[1]) for v in (x, y))
             score = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
             yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("node"), pa.array(score)], ["q", "node", "score"])
 
