@@ -5,8 +5,9 @@ it keeps with the columns of ``documents``; the last returns token digests. Clas
 the labelled documents among a stage's own input.
 
 Defined cases: an empty input passes through every stage. Without usable labels nothing is rejected.
-Rows with a null doc_id are judged by their text; as they can't be named they are never removed as the
-duplicate of another. Columns beside doc_id and text pass through unchanged up to the last stage.
+Rows are judged by their text, whatever their doc_id: rows that share an id or have none are told apart by it, and
+of near copies the one with the smallest id stays, a null id last. Rows equal in id and text are one document.
+Columns beside doc_id and text pass through unchanged up to the last stage.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest id."""
+    """Of every group of near copies the document with the smallest id (``jaccard.one_of_each_group``)."""
     return jaccard.one_of_each_group(docs)
 
 
