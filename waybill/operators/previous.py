@@ -17,7 +17,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from waybill.session import cut_lineage, hand_over
+from waybill.session import hand_over
 
 HOT_SLICE_ROWS = 2_000_000
 MAX_BROADCAST_SLICES = 500_000
@@ -96,7 +96,7 @@ def _hot_slices(placed: DataFrame, unit: list[str], hot_rows: int):
     At most ``rows / hot_rows`` slices can qualify, so the list stays short.
     """
     sizes = placed.groupBy(*unit).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = cut_lineage(sizes.filter(F.col("_rows") > hot_rows))
+    hot = hand_over(sizes.filter(F.col("_rows") > hot_rows))
     hot_slices, total = hot.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     return (hot.select(*unit), hot_slices, total) if hot_slices else None
 
