@@ -112,5 +112,5 @@ def test_query_matches_sql(spark, name):
 
 def test_registered(spark):
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert not any(hasattr(module, "localCheckpoint") for module in (decontamination, jaccard, quality))
