@@ -74,7 +74,7 @@ def test_ids_of_any_text(library):
 
 def test_remembered_parts_age(library, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 5)
-    monkeypatch.setattr(packing, "PIECE", 8)
+    monkeypatch.setattr(packing, "SLICE", 8)
     rnd = random.Random(6)
     encoder = packing.Encoder(open(PATH, encoding="utf-8").read())
     for _ in range(200):

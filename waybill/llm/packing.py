@@ -32,21 +32,22 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from waybill.llm.words import PIECE, WHITE_SPACE, exact_words, flat_bytes, row_chunks
+from waybill.llm.words import WHITE_SPACE, exact_words, flat_bytes, row_chunks
 
 WINDOW = 2048
 OPEN_WINDOWS = 2048
 REMEMBERED = 2_000_000  # parts, of some 40 bytes each
 ROWS_OUT = 2048
+SLICE = 1 << 20  # bytes of text encoded at a time, about
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
 def _slices(text: bytes) -> Iterator[bytes]:
-    """A text cut at white space into slices of about ``PIECE`` bytes, or one longer word."""
+    """A text cut at white space into slices of about ``SLICE`` bytes, or one longer word."""
     start = 0
-    while len(text) - start > PIECE:
-        found = _SPACE.search(text, start + PIECE)
+    while len(text) - start > SLICE:
+        found = _SPACE.search(text, start + SLICE)
         if not found:
             break
         yield text[start : found.end()]
@@ -92,7 +93,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """One after the other where they are long together."""
-        if (pc.sum(pc.binary_length(texts)).as_py() or 0) <= 4 * PIECE:
+        if (pc.sum(pc.binary_length(texts)).as_py() or 0) <= 4 * SLICE:
             return self._encode(texts)
         slices = ((_slices(t) if t else ()) for t in texts.cast(pa.binary()).to_pylist())
         return [b"".join(self._encode(pa.array([part], pa.binary()))[0] for part in parts) for parts in slices]
@@ -256,7 +257,7 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text", win
             return pa.RecordBatch.from_arrays(arrays, names)
 
         for whole in batches:
-            for batch in row_chunks(whole, "text"):
+            for batch in row_chunks(whole, "text", 2 * SLICE):
                 for document, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                     packer.add(document, ids + last)
                 yield from rows(packer.taken())

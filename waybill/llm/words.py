@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _STEPS = np.random.default_rng(20240607).integers(0, 2**64, 64, dtype=np.uint64) | _U(1)
