@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from waybill.llm.labelled import training_sample
-from waybill.llm.tables import summed
+from waybill.llm.tables import remembered, summed
 from waybill.llm.words import flat_bytes, row_chunks
 
 BUCKETS = 4096
@@ -114,6 +114,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def frequencies(docs: DataFrame, text: str = "text") -> np.ndarray | None:
     """In how many of all documents each bucket and shape occurs; the number of documents comes last."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("quality")
         total = np.zeros(BUCKETS + SHAPES + 1, np.int64)
         for whole in batches:
             for batch in row_chunks(whole, "text"):
@@ -159,6 +160,7 @@ def scored(docs: DataFrame, space: Space, text: str = "text", name: str = "score
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("quality")
         for whole in batches:
             for batch in row_chunks(whole, text):
                 scores = shared.value.score(bags(batch.column(place).cast(pa.string())))

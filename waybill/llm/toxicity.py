@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from waybill.llm.labelled import logistic, training_sample
-from waybill.llm.tables import forget, keep
+from waybill.llm.tables import forget, keep, remembered
 from waybill.llm.words import row_chunks
 
 # fixed values: letters of other scripts that look like Latin ones, signs and digits used for letters
@@ -127,6 +127,7 @@ def terms(folded: str) -> set[str]:
 def _folded(sample: DataFrame) -> DataFrame:
     """Stored (text, y) with folded texts, as they are read several times."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("toxicity")
         for whole in batches:
             for batch in row_chunks(whole, "text"):
                 texts = [fold_text(t) for t in batch.column("text").to_pylist()]
@@ -138,6 +139,7 @@ def _folded(sample: DataFrame) -> DataFrame:
 def _lists(folded: DataFrame, make) -> DataFrame:
     """(y, found): what the function that ``make`` returns, once a task, finds in each folded text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("toxicity")
         find = make()
         for whole in batches:
             for batch in row_chunks(whole, "text"):
@@ -240,6 +242,7 @@ def _apply(df: DataFrame, text: str, names: list[str], make, fold=fold_text) ->
     place = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("toxicity")
         state = make()
         for whole in batches:
             for batch in row_chunks(whole, place):
