@@ -172,12 +172,16 @@ def _latest_stream(spark, d):
 
 
 def _halves(spark, d) -> list[DataFrame]:
-    """The records as two streams of several files each, earlier half and later half by offset
-    parity, so that equal times and late rows fall on both sides."""
+    """The records as two streams of several batches each, earlier half and later half by offset
+    parity, so that equal times and late rows fall on both sides. A batch holds whole topic partitions."""
     stored = scratch_path(use_utc(spark), "records")
-    records = fixtures.records(spark, d).withColumn("half", F.col("offset") % 2)
-    records.repartition(3, "partition").write.partitionBy("half").parquet(stored)
-    return [streams.event_source(spark, "parquet", path=f"{stored}/half={n}", maxFilesPerTrigger="1") for n in (0, 1)]
+    batch = F.pmod(F.hash("partition"), F.lit(3))
+    records = fixtures.records(spark, d).withColumn("file_no", batch)
+    halves = [(f"{stored}/half={n}", records.filter(F.col("offset") % 2 == n)) for n in (0, 1)]
+    return [
+        streams.event_source(spark, "parquet", path=path, maxFilesPerTrigger=str(fixtures.write_in_order(half, path)))
+        for path, half in halves
+    ]
 
 
 def _history_stream_restart(spark, d):
@@ -203,10 +207,10 @@ def _latest_stream_bucketed(spark, d):
 
 
 def _late_stream(spark, d):
-    """A stream of several files, a batch each, in which some rows come much too late."""
+    """A stream of several folders, a batch each, in which some rows come much too late."""
     stored = scratch_path(use_utc(spark), "records")
-    fixtures.write_in_order(fixtures.late_records(spark, d), stored)
-    return streams.event_source(spark, "parquet", path=stored, maxFilesPerTrigger="1")
+    files = fixtures.write_in_order(fixtures.late_records(spark, d), stored)
+    return streams.event_source(spark, "parquet", path=stored, maxFilesPerTrigger=str(files))
 
 
 def _parsed_late(spark, d):
@@ -219,14 +223,14 @@ def _latest_vehicle_state_restart(spark, d):
     records = fixtures.late_records(spark, d)
     for first, last in ((0, 3), (4, 7)):
         part = scratch_path(spark, "part")
-        fixtures.write_in_order(records.filter(F.col("file_no").between(first, last)), part)
+        taken = fixtures.write_in_order(records.filter(F.col("file_no").between(first, last)), part)
         for number in range(first, last + 1):
             files, folder = sinks.folder(spark, f"{part}/file_no={number}")
             if files.exists(folder):
                 _, target = sinks.folder(spark, f"{stored}/file_no={number}")
                 files.mkdirs(target.getParent())
                 files.rename(folder, target)
-        stream = streams.event_source(spark, "parquet", path=stored, maxFilesPerTrigger="1")
+        stream = streams.event_source(spark, "parquet", path=stored, maxFilesPerTrigger=str(taken))
         parsed = ev.parse_events(ev.kafka_decode(stream))
         _run(jobs.keyed_stream(jobs.latest_vehicle_state(parsed), out, state, ONCE))
     return gold.latest_by(sinks.read_batches(spark, out), ["vehicle_id"], ["write"]).drop("write")

@@ -1,8 +1,11 @@
 import json
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from waybill import fixtures
 from waybill.operators import events as ev
 from waybill.plans.serving import latest_positions
 from waybill.schemas import LATEST_POSITIONS, RECORD
@@ -204,3 +207,30 @@ def test_publish_checks_the_contract(spark, tmp_path):
 def test_console_runner(spark, topic, tmp_path):
     topic.send(event("a", 0))
     finish(jobs.console(ev.kafka_decode(topic.stream()), str(tmp_path / "ck"), trigger=ONCE))
+
+
+def numbered(spark, counts):
+    """Records of which ``counts[n]`` have the file number n."""
+    numbers = [n for n, count in enumerate(counts) for _ in range(count)]
+    rows = [(b"k", b"v%d" % at, at % 3, at, datetime(2024, 1, 1, tzinfo=timezone.utc), n) for at, n in enumerate(numbers)]
+    return spark.createDataFrame(rows, StructType([*RECORD.fields, StructField("file_no", IntegerType())]))
+
+
+def test_a_batch_of_a_numbered_stream_comes_in_files_of_bounded_size(spark, tmp_path):
+    counts = [3, 1000, 0, 240]
+    path, seen = str(tmp_path / "numbered"), {}
+    files = fixtures.write_in_order(numbered(spark, counts), path, rows_per_file=100)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert files == 10 and sum(sizes) == sum(counts) and max(sizes) <= 200
+
+    def look(batch, batch_id):
+        seen[batch_id] = sorted(r.offset for r in batch.select("offset").collect())
+
+    stream = streams.event_source(spark, "parquet", path=path, maxFilesPerTrigger=str(files))
+    finish(jobs.history_of(stream.select(*RECORD.fieldNames()), look, str(tmp_path / "ck"), ONCE))
+    assert [seen[k] for k in sorted(seen)] == [[*range(3)], [*range(3, 1003)], [*range(1003, 1243)]]
+
+
+def test_small_numbers_of_records_are_one_file_a_batch(spark, tmp_path):
+    assert fixtures.write_in_order(numbered(spark, [3, 2]), str(tmp_path / "few")) == 1
+    assert fixtures.write_in_order(numbered(spark, [0]), str(tmp_path / "none")) == 1

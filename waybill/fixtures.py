@@ -20,6 +20,7 @@ from waybill.sources.snapshots import feed_message
 from waybill.sources.tables import spread_files
 
 BASE_MICROS = 1_704_067_200_000_000  # 2024-01-01T00:00:00Z
+ROWS_PER_FILE = 200_000
 
 
 def _every(n: int) -> Column:
@@ -107,16 +108,37 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_of(positions_of(stream_events(spark, sf_dir)))
 
 
-def write_in_order(records: DataFrame, path: str) -> None:
-    """Records as one file per ``file_no``, modified in that order, for streams that take a file a batch."""
+def write_in_order(records: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Records as one folder per ``file_no``, a small number, modified in that order, for streams that take a folder
+    a batch; returns how many files each folder has, which is what such a stream takes at once.
+
+    Files are as many as the largest folder needs, so that a task has about ``rows_per_file`` rows whatever the
+    table's size; other folders are filled up with empty files.
+    """
     spark = records.sparkSession
-    records.repartition("file_no").write.partitionBy("file_no").parquet(path)
+    counts = {r["file_no"]: r["count"] for r in records.groupBy("file_no").count().collect()}  # a row a folder
+    parts = max(1, -(-max(counts.values(), default=0) // rows_per_file))
+    part = F.pmod(F.xxhash64("partition", "offset", "value"), F.lit(parts))
+    place = F.col("file_no") * parts + part - min(counts, default=0) * parts
+    folders = max(counts, default=0) - min(counts, default=0) + 1
+    dealt = records.repartitionById(folders * parts, place.cast("int"))
+    dealt.write.partitionBy("file_no").parquet(path)
+    found = {number: _parquet_files(spark, f"{path}/file_no={number}") for number in counts}
+    most = max(map(len, found.values()), default=1)
+    empty = spark.createDataFrame([], records.drop("file_no").schema).coalesce(1)
+    for number, names in found.items():
+        for _ in range(most - len(names)):
+            empty.write.mode("append").parquet(f"{path}/file_no={number}")
+        for name in _parquet_files(spark, f"{path}/file_no={number}"):
+            files, location = folder(spark, name)
+            files.setTimes(location, BASE_MICROS // 1000 + 1000 * number, -1)
+    return most
+
+
+def _parquet_files(spark: SparkSession, path: str) -> list[str]:
     files, location = folder(spark, path)
-    found = files.listFiles(location, True)
-    while found.hasNext():
-        file = found.next().getPath()
-        if file.getParent().getName().startswith("file_no="):
-            files.setTimes(file, BASE_MICROS // 1000 + 1000 * int(file.getParent().getName()[8:]), -1)
+    names = [str(entry.getPath()) for entry in files.listStatus(location)]
+    return [name for name in names if name.endswith(".parquet")]
 
 
 def late_records(spark: SparkSession, sf_dir: str, files: int = 8) -> DataFrame:
