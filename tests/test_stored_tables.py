@@ -4,6 +4,7 @@ import os
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from waybill.operators import merge
 from waybill.plans import gold, incremental
@@ -55,6 +56,21 @@ def test_readers_see_rows_once_on_either_side_of_a_merge(spark, tmp_path, monkey
     assert len(appends.live_folders(spark, path)) == 1 and appends.merge_full_levels(spark, path) == 0
 
 
+def test_a_merge_by_date_sorts_few_rows_in_a_task(spark, tmp_path, monkeypatch):
+    """One date holds nearly all rows, in files that compress to almost nothing."""
+    path = str(tmp_path / "log")
+    monkeypatch.setattr(appends, "FAN", 4)
+    monkeypatch.setattr(appends, "SORTED_ROWS", 500, raising=False)
+    for n in range(4):
+        rows = spark.range(n * 1000, n * 1000 + 1000, numPartitions=1).select(
+            F.col("id").alias("n"), F.when(F.col("id") % 100 == 0, "2024-01-02").otherwise("2024-01-01").alias("day"))
+        appends.append(rows, path, f"q.{n}", ("day",))
+    merged = spark.read.parquet(f"{path}/{appends.live_folders(spark, path)[0]}")
+    tasks = merged.groupBy(F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).alias("task")).count().collect()
+    assert len(appends.live_folders(spark, path)) == 1 and len(tasks) > 2 and max(r["count"] for r in tasks) < 2000
+    assert sorted(r.n for r in appends.read(spark, path).collect()) == [*range(4000)]
+
+
 def test_replays_and_other_queries(spark, tmp_path):
     path = str(tmp_path / "log")
     assert appends.append(one(spark, (1, "d")), path, "a.0")

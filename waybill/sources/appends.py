@@ -19,6 +19,7 @@ from waybill.sources import manifests
 
 FAN = 8
 FILE_BYTES = 128 << 20
+SORTED_ROWS = 500_000  # rows a task of a merge by partition values sorts, about
 
 
 def append(df: DataFrame, path: str, source: str | None = None, partition_by: tuple[str, ...] = ()) -> bool:
@@ -70,6 +71,8 @@ def _merge(spark: SparkSession, path: str, names: list[str], level: int, partiti
     if rows is None:
         spark.createDataFrame([], "write long").write.parquet(f"{path}/{merged}")
     else:
+        # files compress well, so their size says little of the memory their rows take when sorted by partition values
+        files = max(files, -(-rows.count() // SORTED_ROWS)) if partition_by else files
         # a partition value with very many rows goes to up to `files` files
         part = [*partition_by, F.pmod(F.xxhash64(*(c for c in rows.columns if c not in partition_by)), F.lit(files))]
         dealt = rows.repartition(files, *part) if partition_by else rows.coalesce(files)
