@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +141,23 @@ def test_components_of_chain_star_and_ring(spark):
     got = {r["node"]: r["root"] for r in found.collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 160)}, 201: 200, 202: 200}
     assert components.components(spark.createDataFrame([], "a long, b long")).agg(F.count("*")).first()[0] == 0
+
+
+def test_hot_elements_and_documents_that_may_be_copies(spark, docs, monkeypatch):
+    """Elements of more than two documents aren't counted, and the filter of copies is full: the links stay."""
+    monkeypatch.setattr(jaccard, "HOT_LIST", 2)
+    monkeypatch.setattr(jaccard, "membership", lambda ids: np.full(1 << 21, 255, np.uint8))
+    rows = jaccard.similarity_groups(frame(spark, docs)).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str) == brute(docs)
+
+
+def test_postings_are_moved_once(spark):
+    prefixes = spark.createDataFrame([(1, 3, [7, 8, 9], 1, 2), (2, 3, [7, 5, 9], 1, 2)], "id long, n long, prefix array<long>, entries long, rare int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shared = jaccard._shared_postings(prefixes, 0)
+        found = sorted((r["key"], r["id"]) for r in shared.collect())
+        plan = shared._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == [(7, 1), (7, 2)] and plan.count("Exchange hashpartitioning") == 1

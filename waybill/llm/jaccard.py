@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from waybill.llm.components import components
 from waybill.llm.tables import forget, keep, may_contain, membership, release, remembered, summed
@@ -44,6 +44,7 @@ SUBSET = 2
 PERCENT = 75
 SKETCH_BITS = 20
 STAR_SHARE = 4  # one list in so many serves the first comparisons
+HOT_LIST = 100_000  # an element that may be in so many documents is taken for shared without counting
 LONG_LIST = 64  # beyond so many members a list's documents are compared block by block
 BLOCK_SETS = 1024
 BLOCK_ELEMENTS = 500_000
@@ -111,17 +112,24 @@ def needed(n):
     return -(-PERCENT * n // 100)
 
 
-def _prefixes(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """Per document: size, its first elements in the global order, list entries behind them."""
+def _prefixes(docs: DataFrame, sketch: np.ndarray, others: np.ndarray, sure: bool) -> DataFrame:
+    """Per document: size, its first elements in the global order, how many of them are not hot, list entries behind them.
+
+    The sketch counts an element at least as often as documents hold it, so one that is not hot is in at most
+    ``HOT_LIST`` documents, plus the sketch's usual noise. Only documents that are surely not among ``others``, a
+    membership filter, or only the rest."""
     noise = int(np.median(sketch))
     ranks = (np.log2(sketch.astype(np.float64) + 1) * 1000).astype(np.uint16)
-    shared = docs.sparkSession.sparkContext.broadcast((sketch, ranks))
+    hot = int(np.log2(HOT_LIST + noise + 1) * 1000)
+    shared = docs.sparkSession.sparkContext.broadcast((sketch, ranks, others))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered("jaccard")
-        counted, rank = shared.value
+        counted, rank, bitmap = shared.value
         for whole in batches:
-            for batch in row_chunks(whole, "text"):
+            hashes = whole.column("h").to_numpy(zero_copy_only=False)
+            picked = whole.filter(pa.array(may_contain(bitmap, hashes) != sure))
+            for batch in row_chunks(picked, "text"):
                 values, counts = _sets(batch)
                 bounds = np.concatenate([[0], np.cumsum(counts)])
                 slots = _slot(values)
@@ -133,13 +141,15 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                 lengths = np.array([len(c) for c in chosen], np.int64)
                 entries = np.maximum(counted[slots[kept]].astype(np.int64) - noise, 1)
                 ends = np.concatenate([[0], np.cumsum(entries)])
+                rare = np.concatenate([[0], np.cumsum(order[kept] < hot)])
                 cuts = np.concatenate([[0], np.cumsum(lengths)])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(counts, pa.int64()), lists(values[kept].view(np.int64), lengths, pa.int64()),
-                     pa.array(ends[cuts[1:]] - ends[cuts[:-1]])], ["id", "n", "prefix", "entries"])
+                     pa.array(ends[cuts[1:]] - ends[cuts[:-1]]), pa.array((rare[cuts[1:]] - rare[cuts[:-1]]).astype(np.int32))],
+                    ["id", "n", "prefix", "entries", "rare"])
 
-    named = _rows(docs).filter("doc_id is not null")
-    return named.mapInArrow(encode, "id long, n long, prefix array<long>, entries long")
+    named = _rows(docs).filter("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+    return named.mapInArrow(encode, "id long, n long, prefix array<long>, entries long, rare int")
 
 
 def _boundary(prefixes: DataFrame) -> int:
@@ -158,22 +168,26 @@ def _boundary(prefixes: DataFrame) -> int:
     return min(range(LIGHT_LIMIT + 1), key=cost)
 
 
-def _postings(prefixes: DataFrame, boundary: int) -> DataFrame:
-    """(key, id, n): subsets of light sets, single elements of sets that may link with a heavy one."""
-    single = F.slice("prefix", 1, (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))
-    pairs = F.flatten(F.transform("prefix", lambda x, i: F.transform(
-        F.slice("prefix", i + 2, F.size("prefix")), lambda y: F.xxhash64(x, y))))
+def _postings(prefixes: DataFrame, boundary: int, hot: bool = False) -> DataFrame:
+    """(key, id, n): subsets of light sets, single elements of sets that may link with a heavy one; those of hot
+    elements only, or those with an element that is not hot."""
+    mine = lambda x: F.slice(x, F.col("rare") + 1, F.size("prefix")) if hot else F.slice(x, F.lit(1), F.col("rare"))
+    single = mine(F.slice("prefix", 1, (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int")))
+    # the first of two elements is the rarer one
+    pairs = F.flatten(mine(F.transform("prefix", lambda x, i: F.transform(
+        F.slice("prefix", i + 2, F.size("prefix")), lambda y: F.xxhash64(x, y)))))
     nothing = F.array().cast("array<long>")
     keys = F.concat(F.when(F.col("n") >= needed(boundary + 1), single).otherwise(nothing),
                     F.when(F.col("n") <= boundary, pairs).otherwise(nothing))
-    return prefixes.filter("n > 0").select("id", "n", F.explode(keys).alias("key"))
+    some = F.col("rare") < F.size("prefix") if hot else F.col("rare") > 0
+    return prefixes.filter((F.col("n") > 0) & some).select("id", "n", F.explode(keys).alias("key"))
 
 
-def _shared_postings(postings: DataFrame) -> DataFrame:
-    """Postings of keys that more than one document has. The keys are stored first: a join whose
-    two sides come straight from their shuffles is one that Spark splits at a hot key."""
-    shared = keep(postings.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"), "keys")
-    return postings.join(shared, "key")
+def _shared_postings(prefixes: DataFrame, boundary: int) -> DataFrame:
+    """Postings of keys that more than one document has, moved once. Those of hot elements stay where they are,
+    shared or not: the others' lists are bounded, so no task counts a very long one."""
+    counted = _postings(prefixes, boundary).withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    return counted.filter("c > 1").drop("c").unionByName(_postings(prefixes, boundary, hot=True))
 
 
 def _candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -321,12 +335,15 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     rows = digests.filter("sketch is null").drop("sketch")
     classes = rows.filter("n > 0").groupBy("n", "high", "low").agg(F.min("doc_id").alias("rep"))
 
-    # of equal sets one is enough; both sides of this join are plain shuffles
+    # of equal sets one is enough; only documents that may not be that one are moved to find out
     reps = keep(classes.select(F.col("rep").alias("id")).distinct(), "reps")
-    every = _prefixes(docs, np.zeros(1 << SKETCH_BITS, np.uint32) if sketch is None else sketch)
-    prefixes = keep(every.join(reps, "id", "left_semi"), "prefixes")
+    others = membership(rows.select(F.col("doc_id").alias("id")).dropna().join(reps, "id", "left_anti").select(F.xxhash64("id")))
+    counted = np.zeros(1 << SKETCH_BITS, np.uint32) if sketch is None else sketch
+    unsure = _prefixes(docs, counted, others, sure=False).join(reps, "id", "left_semi")
+    prefixes = keep(_prefixes(docs, counted, others, sure=True).unionByName(unsure), "prefixes")
+    release(spark)
     boundary = _boundary(prefixes)
-    members = keep(_shared_postings(_postings(prefixes, boundary)), "members")
+    members = keep(_shared_postings(prefixes, boundary), "members")
     forget(prefixes, reps)
     release(spark)
     edges = _verified(docs, _star_pairs(members))
