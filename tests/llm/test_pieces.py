@@ -4,6 +4,7 @@ import hashlib
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
@@ -49,6 +50,27 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert fresh.text(text) == ENCODER.text(text)
 
 
+def test_slices_of_a_long_text(monkeypatch):
+    monkeypatch.setattr(pieces, "SLICE", 7)
+    text = "  one, two▁▁three\n four  é日😀   five\t six" * 9 + "a" * 50 + "   "
+    texts = [text, None, "", " ", "short"]
+    ids, decoded = ENCODER.texts(pa.array(texts))
+    expected = [LIBRARY.encode(t or "", add_bos=True, add_eos=True) for t in texts]
+    assert [pieces.ids_of(i) for i in ids.to_pylist()] == expected
+    assert decoded.to_pylist() == [LIBRARY.decode(e) for e in expected]
+
+
+def test_a_word_is_encoded_once_whatever_signs_surround_it(monkeypatch):
+    fresh, encoded = pieces._Encoder(VOCABULARY), []
+    encode = fresh.encode
+    monkeypatch.setattr(fresh, "encode", lambda part: encoded.append(part) or encode(part))
+    words = [f"un{a}worbl{b}ig" for a in "aeiou" for b in "rstlnk"]
+    texts = [f"{w} {w}, {w}... {w}日 {w}* {w}| {w}; {w}" for w in words for _ in range(3)]
+    ids, _ = fresh.texts(pa.array(texts))
+    assert [pieces.ids_of(i) for i in ids.to_pylist()] == [LIBRARY.encode(t, add_bos=True, add_eos=True) for t in texts]
+    assert len(encoded) == len(set(encoded)) and len(encoded) < len(words) + 10
+
+
 def test_rows(spark):
     rows = [(i, t, "x") for i, t in enumerate(EDGES)] + [(1, EDGES[2], "x"), (None, "null id", "y"), (77, None, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")

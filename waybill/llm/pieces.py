@@ -7,9 +7,10 @@ piece is given up for a shorter one. The chain that reaches a position is the en
 text so far, hence unique, so a position that can't be continued is marked in a bitfield and never
 tried again.
 
-No piece spans the start of a run of spaces, nor a character that occurs in no piece. Texts are
-cut there (``_Encoder.cut``) and the parts, mostly words, are encoded once per worker and remembered
-in a bounded dictionary. Characters without a piece become byte pieces.
+Two characters that are neighbours in no piece are never merged, so texts are cut there, also around
+characters that occur in no piece; those become byte pieces. The parts, words and signs, are found in numpy for
+whole Arrow batches, the distinct ones of a batch are encoded once per worker and remembered in a bounded dictionary,
+and Arrow puts their ids and texts together. Texts beyond ``SLICE`` are worked through in slices that end before a space.
 
 Merges of equal score go to the leftmost pair. Pieces that merging never yields from their own text
 are not matched.
@@ -28,14 +29,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from waybill.llm.tables import remembered
-from waybill.llm.words import row_chunks
+from waybill.llm.words import flat_bytes, row_chunks
 
 SPACE = "▁"
-REMEMBERED = 250_000
+REMEMBERED = 400_000
+REMEMBERED_PAIRS = 1_000_000
+SLICE = 1 << 20  # bytes of a longer text encoded at a time, about
+_BEFORE_SPACE = re.compile(rb"[^ ](?= )")
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 
 
@@ -101,107 +106,164 @@ def merged(text: str, order: dict[str, int]) -> list[str]:
     return parts
 
 
+def _slices(text: bytes) -> Iterator[bytes]:
+    """A text cut before spaces that follow another character into slices of about ``SLICE`` bytes, or one longer part."""
+    start = 0
+    while len(text) - start > SLICE and (found := _BEFORE_SPACE.search(text, start + SLICE)):
+        yield text[start : found.end()]
+        start = found.end()
+    yield text[start:]
+
+
+def _joined(values: list[bytes], codes: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """For every row the values of its codes, which lie between two bounds, as one."""
+    taken = pa.array(values, pa.large_binary()).take(pa.array(codes))
+    offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset :][bounds]
+    return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), taken.buffers()[2]])
+
+
 class _Encoder:
     def __init__(self, vocabulary: Vocabulary):
         import ahocorasick
 
         self.vocabulary, self.ids, self.bytes = vocabulary, vocabulary.ids, vocabulary.bytes
         self.order = merge_order(vocabulary)
-        self.matcher = ahocorasick.Automaton()
-        for i in vocabulary.matched:
-            piece = vocabulary.pieces[i]
-            self.matcher.add_word(piece, (len(piece), i))
-        self.matcher.make_automaton()
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece holds a space after another character")
-        newline = "" if any("\n" in p for p in self.ids) else "\n"
-        self.cut = re.compile(f"{newline}|{SPACE}+[^{SPACE}{newline}]*|[^{SPACE}{newline}]+" if newline else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        self.matched = {vocabulary.pieces[i].replace(SPACE, " "): i for i in vocabulary.matched if " " not in vocabulary.pieces[i]}
+        self.longest = max(map(len, self.matched), default=0)
+        self.matcher = ahocorasick.Automaton()
+        for piece in self.matched:
+            self.matcher.add_word(piece, len(piece))
+        neighbours = {pair for p in self.ids for pair in zip(p.replace(SPACE, " "), p.replace(SPACE, " ")[1:])}
+        signs = sorted({c for pair in neighbours for c in pair})
+        if not self.matched.keys() >= set(signs):
+            raise ValueError("a character of a longer piece is no piece")
+        self.sign = np.zeros(max(map(ord, signs), default=0) + 2, np.int16)  # 0: never beside another in a piece
+        self.sign[[ord(c) for c in signs]] = np.arange(1, len(signs) + 1)
+        self.beside = np.zeros((len(signs) + 1, len(signs) + 1), bool)
+        for a, b in neighbours:
+            self.beside[self.sign[ord(a)], self.sign[ord(b)]] = True
         self.byte_of = {i: b for b, i in enumerate(self.bytes)}
+        self.shown = [None if k == BYTE else p.replace(SPACE, " ") if k == NORMAL else "" for p, k in zip(vocabulary.pieces, vocabulary.kinds)]
         self.suits: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[bytes, tuple[bytes, bytes]] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         found = self.suits.get((left, right))
         if found is None:
-            if len(self.suits) >= 4 * REMEMBERED:
+            if len(self.suits) >= REMEMBERED_PAIRS:
                 self.suits.clear()
             a, b = self.vocabulary.pieces[left], self.vocabulary.pieces[right]
             found = self.suits[left, right] = merged(a + b, self.order) == [a, b]
         return found
 
     def encode(self, part: str) -> list[int]:
-        """Ids of a part that no piece extends beyond."""
-        whole = self.ids.get(part)
-        if whole is not None and len(part) == 1:
-            return [whole]
-        starts: list[list[tuple[int, int]]] = [[] for _ in part]
-        for last, (length, i) in self.matcher.iter(part):
-            starts[last - length + 1].append((last + 1, i))
-        out: list[int] = []
-        low = reach = 0
-        for high in range(len(part) + 1):
-            if high == len(part) or not starts[high] and reach <= high:  # the end, or no piece holds this character
-                out += self._chain(starts, low, high)
-                if high < len(part):
-                    out += [self.bytes[b] for b in part[high].encode("utf-8", "surrogatepass")]
-                low = high + 1
-            elif starts[high]:
-                reach = max(reach, starts[high][-1][0])
-        return out
-
-    def _chain(self, starts: list[list[tuple[int, int]]], low: int, high: int) -> list[int]:
-        taken: list[tuple[int, int, int]] = []  # where it begins, its place among the matches there, id
-        failed, at, choice = 0, low, None
-        while at < high:
-            options = starts[at]
-            choice = len(options) - 1 if choice is None else choice
-            while choice >= 0:
-                stop, i = options[choice]
-                if not failed >> (stop - low) & 1 and (not taken or self.compatible(taken[-1][2], i)):
-                    break
-                choice -= 1
-            if choice >= 0:
-                taken.append((at, choice, i))
-                at, choice = stop, None
+        """Ids of a part that no piece extends beyond, spaces written as such."""
+        matched, reach, suits = self.matched, self.matcher.longest_prefix, self.suits
+        if len(part) == 1 and part not in matched:
+            return [self.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
+        taken: list[int] = []
+        ends = [0]  # of what is taken
+        failed = at = 0
+        stop = None
+        while at < len(part):
+            if stop is None:
+                stop = at + reach(part[at : at + self.longest])
+            while stop > at:
+                i = matched.get(part[at:stop])
+                if i is not None and not failed >> stop & 1:
+                    suit = suits.get((taken[-1], i)) if taken else True
+                    if self.compatible(taken[-1], i) if suit is None else suit:
+                        break
+                stop -= 1
+            if stop > at:
+                taken.append(i)
+                ends.append(stop)
+                at, stop = stop, None
             else:
-                failed |= 1 << (at - low)
-                at, choice, _ = taken.pop()
-                choice -= 1
-        return [i for _, _, i in taken]
+                failed |= 1 << at
+                taken.pop()
+                stop = ends.pop() - 1
+                at = ends[-1]
+        return taken
 
     def decode(self, ids) -> str:
         """Text of ids, the first space included."""
+        shown = [self.shown[i] for i in ids]
+        if None not in shown:
+            return "".join(shown)
         out, raw = [], bytearray()
-        for i in ids:
-            kind = self.vocabulary.kinds[i]
-            if kind == BYTE:
+        for i, piece in zip(ids, shown):
+            if piece is None:
                 raw.append(self.byte_of[i])
                 continue
             if raw:
                 out.append(raw.decode("utf-8", "replace"))
                 raw.clear()
-            if kind == NORMAL:
-                out.append(self.vocabulary.pieces[i].replace(SPACE, " "))
+            out.append(piece)
         if raw:
             out.append(raw.decode("utf-8", "replace"))
         return "".join(out)
 
-    def text(self, text: str | None) -> tuple[bytes, str]:
-        """Ids of a whole text as little-endian 32-bit integers, and their decoding."""
-        parts = self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    def _parts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The parts of all texts, and the index of each text's first part (one more entry than texts)."""
+        data, offsets = flat_bytes(texts)
+        if not len(data):
+            return pa.array([], pa.large_binary()), np.zeros(len(offsets), np.int64)
+        characters = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+        sign = self.sign[np.minimum(characters, len(self.sign) - 1)]
+        cut = np.ones(len(characters), bool)
+        cut[1:] = ~self.beside[sign[:-1], sign[1:]]
+        places = np.flatnonzero(data & 0xC0 != 0x80)  # bytes that begin a character
+        cut[np.searchsorted(places, offsets[:-1][np.diff(offsets) > 0])] = True
+        starts = places[cut]
+        bounds = np.append(starts, len(data)).astype(np.int64)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
+        return parts, np.searchsorted(starts, offsets)
+
+    def _found(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """Ids, as little-endian 32-bit integers, and decoded text of distinct parts."""
         known = self.known
-        missing = set(parts).difference(known)
-        if missing:
-            if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = set(parts)
-            for part in missing:
-                ids = self.encode(part)
-                known[part] = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids))
-        found = [known[p] for p in parts]
-        edge = struct.Struct("<I").pack
-        ids = b"".join([edge(self.vocabulary.begin), *[f[0] for f in found], edge(self.vocabulary.end)])
-        return ids, "".join([f[1] for f in found]).removeprefix(" ")
+        missing = [w for w in words if w not in known]
+        if missing and len(known) + len(missing) > REMEMBERED:
+            known.clear()
+            missing = words
+        for word in missing:
+            ids = self.encode(word.decode("utf-8"))
+            known[word] = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids).encode("utf-8"))
+        return [known[w] for w in words]
+
+    def _pieces(self, texts: pa.Array, begin: bytes, end: bytes) -> tuple[pa.Array, pa.Array]:
+        """Ids of whole texts between those of ``begin`` and ``end``, and their decoding."""
+        parts, first = self._parts(texts)
+        coded = parts.dictionary_encode()
+        found = self._found(coded.dictionary.to_pylist())
+        edges = np.stack([first[:-1], first[1:]], axis=1).ravel()
+        codes = np.insert(coded.indices.to_numpy().astype(np.int64), edges, np.tile([len(found), len(found) + 1], len(texts)))
+        bounds = first + 2 * np.arange(len(first))
+        return (_joined([*(f[0] for f in found), begin, end], codes, bounds),
+                _joined([*(f[1] for f in found), b"", b""], codes, bounds))
+
+    def texts(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Ids of whole texts as little-endian 32-bit integers, begin and end included, and their decoding."""
+        begin, end = (struct.pack("<I", i) for i in (self.vocabulary.begin, self.vocabulary.end))
+        texts = pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), SPACE, " ")
+        space, nothing = (pa.scalar(t, pa.large_string()) for t in (" ", ""))
+        texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), nothing, pc.binary_join_element_wise(space, texts, nothing))
+        if (pc.sum(pc.binary_length(texts)).as_py() or 0) <= 4 * SLICE:
+            ids, decoded = self._pieces(texts, begin, end)
+        else:
+            rows = [[self._pieces(pa.array([part], pa.large_binary()), b"", b"") for part in _slices(t)] for t in texts.cast(pa.large_binary()).to_pylist()]
+            ids = pa.array([b"".join([begin, *(i[0].as_py() for i, _ in row), end]) for row in rows], pa.large_binary())
+            decoded = pa.array([b"".join(d[0].as_py() for _, d in row) for row in rows], pa.large_binary())
+        decoded = pc.replace_substring_regex(decoded.cast(pa.large_string()), r"\A ", "", max_replacements=1)
+        return ids.cast(pa.binary()), decoded.cast(pa.string())
+
+    def text(self, text: str | None) -> tuple[bytes, str]:
+        """The same for one text."""
+        ids, decoded = self.texts(pa.array([text], pa.string()))
+        return ids[0].as_py(), decoded[0].as_py()
 
 
 def _encoder(vocabulary: Vocabulary) -> _Encoder:
@@ -219,10 +281,7 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: st
         encoder = _encoder(shared.value)
         for whole in batches:
             for batch in row_chunks(whole, text):
-                pairs = [encoder.text(t) for t in batch.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.string())],
-                    [*batch.schema.names, ids, decoded])
+                yield pa.RecordBatch.from_arrays([*batch.columns, *encoder.texts(batch.column(text))], [*batch.schema.names, ids, decoded])
 
     return docs.withColumn(text, F.col(text).cast("string")).mapInArrow(run, schema)
 
