@@ -161,3 +161,25 @@ def test_postings_are_moved_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found == [(7, 1), (7, 2)] and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_bitmaps_lose_no_link_and_spare_moving_sets(spark, monkeypatch):
+    """Of pairs, all that link pass the bitmaps, and most that are far from it don't."""
+    rnd = random.Random(3)
+    texts, pairs = [], []
+    for k in range(120):
+        size = rnd.choice([1, 7, 20, 31, 32, 33, 60, 130, 300])
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(size + 4)]
+        near = list(words)
+        for _ in range(rnd.choice([0, 1, 2, size // 40, size // 20])):
+            near[rnd.randrange(len(near))] = f"x{rnd.randrange(10**6)}"
+        far = words[: size // 3] + [f"y{rnd.randrange(10**6)}" for _ in range(size + 4 - size // 3)]
+        texts += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(near)), (3 * k + 2, " ".join(far))]
+        pairs += [(3 * k, 3 * k + 1, 3 * k, 3 * k + 1), (3 * k, 3 * k + 2, 3 * k, 3 * k + 2)]
+    moved, real = [], jaccard._only
+    monkeypatch.setattr(jaccard, "_only", lambda sets, ids: moved.append(ids.count()) or real(sets, ids))
+    found = {tuple(r) for r in jaccard._verified(frame(spark, texts), spark.createDataFrame(pairs, "id long, other long, a long, b long")).collect()}
+    sets = {i: shingles(t) for i, t in texts}
+    wanted = {(a, b) for a, b, _, _ in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert found == wanted and len(wanted) > 40
+    assert moved[0] < 2.3 * len(wanted) < len(texts)

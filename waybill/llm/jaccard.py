@@ -190,8 +190,17 @@ def _shared_postings(prefixes: DataFrame, boundary: int) -> DataFrame:
     return counted.filter("c > 1").drop("c").unionByName(_postings(prefixes, boundary, hot=True))
 
 
+def _bits(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Per set a bitmap of its elements' last bits: as many 64-bit words, a power of two, as give an element two to four places."""
+    words = 1 << np.ceil(np.log2(np.maximum(2 * counts / 64, 1))).astype(np.int64)
+    begins = np.cumsum(words) - words
+    flags = np.zeros(64 * int(words.sum()), bool)
+    flags[np.repeat(64 * begins, counts) + (values & np.repeat(64 * words - 1, counts).astype(np.uint64)).astype(np.int64)] = True
+    return lists(np.packbits(flags, bitorder="little").view("<i8"), words, pa.int64())
+
+
 def _candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, elements) of the documents that may be in ``ids``; a fixed-size filter spares the others."""
+    """(id, n, bits, elements) of the documents that may be in ``ids``; a fixed-size filter spares the others."""
     bitmap = docs.sparkSession.sparkContext.broadcast(membership(ids.select(F.xxhash64("id"))))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,28 +211,71 @@ def _candidate_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
             for batch in row_chunks(picked, "text"):
                 values, counts = _sets(batch)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), lists(values.view(np.int64), counts, pa.int64())], ["id", "elements"])
+                    [batch.column("doc_id"), pa.array(counts, pa.int64()), _bits(values, counts),
+                     lists(values.view(np.int64), counts, pa.int64())], ["id", "n", "bits", "elements"])
 
     rows = _rows(docs).filter("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
-    return rows.mapInArrow(encode, "id long, elements array<long>")
+    return rows.mapInArrow(encode, "id long, n long, bits array<long>, elements array<long>")
+
+
+def _only(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``sets`` that may be in ``ids``, chosen before anything is moved."""
+    bitmap = sets.sparkSession.sparkContext.broadcast(membership(ids.select(F.xxhash64("id"))))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("jaccard")
+        for batch in batches:
+            hashes = batch.column("h").to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(may_contain(bitmap.value, hashes))).drop_columns(["h"])
+
+    return sets.withColumn("h", F.xxhash64("id")).mapInArrow(pick, sets.schema)
 
 
 def _alike(a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
+def _may_link(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose bitmaps don't rule a link out.
+
+    A bit that only one set has stands for an element that the other lacks, so no link is lost. Bitmaps take
+    a sixteenth to a thirty-second of their sets. Sizes of a pair are alike, so one bitmap is at most twice as long as the other.
+    """
+    first = sets.select("id", F.col("n").alias("nx"), F.col("bits").alias("x"))
+    second = sets.select(F.col("id").alias("other"), F.col("n").alias("ny"), F.col("bits").alias("y"))
+    size = F.least(F.size("x"), F.size("y"))
+
+    def folded(bits: str) -> Column:
+        halves = F.zip_with(F.slice(bits, F.lit(1), size), F.slice(bits, size + 1, size), lambda p, q: p.bitwiseOR(q))
+        return F.when(F.size(bits) > size, halves).otherwise(F.col(bits)).alias(bits)
+
+    def alone(mine: str, others: str) -> Column:
+        return F.aggregate(F.zip_with(mine, others, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, c: s + c)
+
+    common = F.least(F.col("nx") - alone("x", "y"), F.col("ny") - alone("y", "x"))
+    return (
+        pairs.join(first, "id").join(second, "other")
+        .select("id", "other", "a", "b", "nx", "ny", folded("x"), folded("y"))
+        .filter(common * 100 >= PERCENT * (F.col("nx") + F.col("ny") - common))
+        .select("id", "other", "a", "b")
+    )
+
+
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of pairs (id, other, a, b), the stored (a, b) whose sets link. Only sets in a pair are moved."""
+    """Of pairs (id, other, a, b), the stored (a, b) whose sets link. Only sets in a pair are stored, and of
+    those only the ones whose bitmaps leave a link possible are moved."""
     pairs = keep(pairs, "pairs")
     sets = keep(_candidate_sets(docs, pairs.select("id").union(pairs.select("other")).distinct()), "sets")
-    first = sets.select("id", F.col("elements").alias("x"))
-    second = sets.select(F.col("id").alias("other"), F.col("elements").alias("y"))
+    likely = keep(_may_link(pairs, sets), "likely")
+    chosen = _only(sets.select("id", "elements"), likely.select("id").union(likely.select("other")).distinct())
+    first = chosen.select("id", F.col("elements").alias("x"))
+    second = chosen.select(F.col("id").alias("other"), F.col("elements").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     links = keep(
-        pairs.join(first, "id").join(second, "other")
+        likely.join(first, "id").join(second, "other")
         .filter(common * 100 >= PERCENT * (F.size("x") + F.size("y") - common))
         .select("a", "b").distinct(), "links")
-    forget(pairs, sets)
+    forget(pairs, sets, likely)
     release(docs.sparkSession)
     return links
 
@@ -252,6 +304,7 @@ def _star_pairs(members: DataFrame) -> DataFrame:
 
 def _cross_pairs(short: DataFrame, boundary: int) -> DataFrame:
     """Pairs from different groups that meet in lists of at most ``LONG_LIST`` members and share enough."""
+    short = short.select("key", "id", "n", "root").repartition("key")  # moved once for both sides
     one = short.select("key", "id", "n", F.col("root").alias("a"))
     two = short.select("key", F.col("id").alias("other"), F.col("n").alias("m"), F.col("root").alias("b"))
     larger = F.greatest("n", "m")
@@ -302,9 +355,9 @@ def _block_links(docs: DataFrame, long: DataFrame) -> DataFrame:
     together in a chain are not compared with each other. A task returns no more links than it has documents.
     """
     homes = long.groupBy("id").agg(F.max(F.struct("c", "key")).alias("home"), F.max("n").alias("n"))
-    sizes = homes.groupBy("home").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
-    homes, sizes = keep(homes, "homes"), keep(sizes, "home_sizes")
+    homes = keep(homes, "homes")
+    sizes = keep(homes.groupBy("home").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks")), "home_sizes")
     placed = keep(homes.join(sizes, "home").select(
         "id", F.xxhash64("home.key", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks"))).alias("block")), "blocks")
     touched = keep(long.join(placed, "id").select("key", "block").distinct(), "touched")
@@ -313,7 +366,7 @@ def _block_links(docs: DataFrame, long: DataFrame) -> DataFrame:
     sides = keep(pairs.withColumn("block", F.explode(F.array_distinct(F.array("i", "j")))), "sides")
     sets = keep(_candidate_sets(docs, placed.select("id")), "sets")
     links = keep(
-        placed.join(sets, "id").join(sides, "block").groupBy("i", "j")
+        placed.join(sets.select("id", "elements"), "id").join(sides, "block").groupBy("i", "j")
         .applyInArrow(lambda table: _linked_in_block(table), "a long, b long"), "links")
     forget(homes, sizes, placed, touched, sides, sets)
     release(docs.sparkSession)
@@ -321,10 +374,11 @@ def _block_links(docs: DataFrame, long: DataFrame) -> DataFrame:
 
 
 def _grouped(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members with their group so far; lists that lie within one group are left out."""
+    """Members with their group so far and the number of members of their list; lists that lie within one group are left out."""
     rooted = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = keep(rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key"), "keys")
-    return rooted.join(mixed, "key").select("key", "id", "n", "root")
+    found = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("c"))
+    mixed = keep(found.filter("x < y").select("key", "c"), "keys")
+    return rooted.join(mixed, "key").select("key", "id", "n", "root", "c")
 
 
 def similarity_groups(docs: DataFrame) -> DataFrame:
@@ -349,11 +403,8 @@ def similarity_groups(docs: DataFrame) -> DataFrame:
     edges = _verified(docs, _star_pairs(members))
     grouped = keep(_grouped(members, components(edges)), "grouped")
     forget(members)
-    counts = keep(grouped.groupBy("key").agg(F.count(F.lit(1)).alias("c")), "counts")
-    short = grouped.join(counts.filter(F.col("c") <= LONG_LIST).select("key"), "key", "left_semi")
-    long = grouped.join(counts.filter(F.col("c") > LONG_LIST), "key")
-    short_links = _verified(docs, _cross_pairs(short, boundary))
-    long_links = _block_links(docs, long)
+    short_links = _verified(docs, _cross_pairs(grouped.filter(F.col("c") <= LONG_LIST), boundary))
+    long_links = _block_links(docs, grouped.filter(F.col("c") > LONG_LIST))
     forget(grouped)
     roots = components(edges.union(short_links).union(long_links))
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
