@@ -50,6 +50,22 @@ def test_forgetting_changes_nothing(monkeypatch):
     assert fresh.text(text) == ENCODER.text(text)
 
 
+def test_what_is_remembered_is_bounded_and_keeps_what_is_met_again(monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 60)
+    fresh, encoded = pieces._Encoder(VOCABULARY), []
+    encode = fresh.encode
+    monkeypatch.setattr(fresh, "encode", lambda part: encoded.append(part) or encode(part))
+    for a in "bdfgkmprst" * 2:
+        text = " ".join(["always", *(f"{a}{b}{c}rold" for b in "aeiou" for c in "xy")])
+        ids, decoded = fresh.text(text)
+        assert pieces.ids_of(ids) == LIBRARY.encode(text, add_bos=True, add_eos=True) and decoded == text
+        assert len(fresh.known) + len(fresh.older) <= 60
+    assert encoded.count(" always") == 1 and len(encoded) > 120
+
+
+def test_remembered_pieces_take_little_memory():
+    assert pieces.REMEMBERED * 400 + pieces.REMEMBERED_PAIRS * 160 <= 100 << 20  # two workers beside a full heap
+
 def test_slices_of_a_long_text(monkeypatch):
     monkeypatch.setattr(pieces, "SLICE", 7)
     text = "  one, two▁▁three\n four  é日😀   five\t six" * 9 + "a" * 50 + "   "

@@ -14,7 +14,7 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 import __spark_entry__ as entry  # noqa: E402
 import compare  # noqa: E402
 import corpus_pipeline  # noqa: E402
-from waybill.llm import decontamination, jaccard, quality, toxicity  # noqa: E402
+from waybill.llm import decontamination, jaccard, quality, tables, toxicity  # noqa: E402
 from waybill.llm.queries import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -47,6 +47,17 @@ def corpus(spark, tmp_path_factory):
     return rows, str(folder)
 
 
+def test_a_stage_leaves_small_batches_and_run_puts_the_sessions_back(spark, corpus):
+    before = spark.conf.get(tables.BATCH_ROWS)
+    try:
+        corpus_pipeline.tokenize(spark, spark.read.parquet(f"{corpus[1]}/documents.parquet"), corpus[1])
+        assert int(spark.conf.get(tables.BATCH_ROWS)) <= 1000
+    finally:
+        spark.conf.set(tables.BATCH_ROWS, before)
+    corpus_pipeline.run(spark, corpus[1])
+    assert spark.conf.get(tables.BATCH_ROWS) == before
+
+
 def test_stages_take_effect(spark, corpus):
     rows, folder = corpus
     docs, kept = spark.read.parquet(f"{folder}/documents.parquet"), []

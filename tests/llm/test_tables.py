@@ -36,3 +36,16 @@ def test_small_batches_are_for_the_jobs_within(spark):
             assert sizes(rows) == 7  # never more than the session allows
     finally:
         spark.conf.set(tables.BATCH_ROWS, before)
+
+
+def test_sums_hand_python_small_batches(spark):
+    def largest(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_pydict({"part": [np.array([max(map(len, batches))]).tobytes()]})
+
+    before = spark.conf.get(tables.BATCH_ROWS)
+    rows = spark.range(0, 5000, 1, 1).mapInArrow(largest, "part binary")
+    assert tables.summed(rows, "int64").tolist() == [1000]
+    assert spark.conf.get(tables.BATCH_ROWS) == before

@@ -9,8 +9,8 @@ tried again.
 
 Two characters that are neighbours in no piece are never merged, so texts are cut there, also around
 characters that occur in no piece; those become byte pieces. The parts, words and signs, are found in numpy for
-whole Arrow batches, the distinct ones of a batch are encoded once per worker and remembered in a bounded dictionary,
-and Arrow puts their ids and texts together. Texts beyond ``SLICE`` are worked through in slices that end before a space.
+whole Arrow batches, the distinct ones of a batch are encoded once per worker and remembered in two bounded dictionaries: when one
+is full it becomes the older, from which what is met again is taken over. Arrow puts their ids and texts together. Texts beyond ``SLICE`` are worked through in slices that end before a space.
 
 Merges of equal score go to the leftmost pair. Pieces that merging never yields from their own text
 are not matched.
@@ -37,8 +37,8 @@ from waybill.llm.tables import remembered
 from waybill.llm.words import flat_bytes, row_chunks
 
 SPACE = "▁"
-REMEMBERED = 400_000
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED = 150_000  # parts, of some 250 bytes each
+REMEMBERED_PAIRS = 250_000  # of some 100 bytes each
 SLICE = 1 << 20  # bytes of a longer text encoded at a time, about
 _BEFORE_SPACE = re.compile(rb"[^ ](?= )")
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
@@ -146,21 +146,23 @@ class _Encoder:
             self.beside[self.sign[ord(a)], self.sign[ord(b)]] = True
         self.byte_of = {i: b for b, i in enumerate(self.bytes)}
         self.shown = [None if k == BYTE else p.replace(SPACE, " ") if k == NORMAL else "" for p, k in zip(vocabulary.pieces, vocabulary.kinds)]
-        self.suits: dict[tuple[int, int], bool] = {}
+        self.width = len(vocabulary.pieces)
+        self.suits: dict[int, bool] = {}  # by left * width + right
         self.known: dict[bytes, tuple[bytes, bytes]] = {}
+        self.older: dict[bytes, tuple[bytes, bytes]] = {}  # what was known before ``known`` was begun
 
     def compatible(self, left: int, right: int) -> bool:
-        found = self.suits.get((left, right))
+        found = self.suits.get(left * self.width + right)
         if found is None:
             if len(self.suits) >= REMEMBERED_PAIRS:
                 self.suits.clear()
             a, b = self.vocabulary.pieces[left], self.vocabulary.pieces[right]
-            found = self.suits[left, right] = merged(a + b, self.order) == [a, b]
+            found = self.suits[left * self.width + right] = merged(a + b, self.order) == [a, b]
         return found
 
     def encode(self, part: str) -> list[int]:
         """Ids of a part that no piece extends beyond, spaces written as such."""
-        matched, reach, suits = self.matched, self.matcher.longest_prefix, self.suits
+        matched, reach, suits, width = self.matched, self.matcher.longest_prefix, self.suits, self.width
         if len(part) == 1 and part not in matched:
             return [self.bytes[b] for b in part.encode("utf-8", "surrogatepass")]
         taken: list[int] = []
@@ -173,7 +175,7 @@ class _Encoder:
             while stop > at:
                 i = matched.get(part[at:stop])
                 if i is not None and not failed >> stop & 1:
-                    suit = suits.get((taken[-1], i)) if taken else True
+                    suit = suits.get(taken[-1] * width + i) if taken else True
                     if self.compatible(taken[-1], i) if suit is None else suit:
                         break
                 stop -= 1
@@ -224,14 +226,17 @@ class _Encoder:
 
     def _found(self, words: list[bytes]) -> list[tuple[bytes, bytes]]:
         """Ids, as little-endian 32-bit integers, and decoded text of distinct parts."""
-        known = self.known
-        missing = [w for w in words if w not in known]
-        if missing and len(known) + len(missing) > REMEMBERED:
-            known.clear()
-            missing = words
+        missing = [w for w in words if w not in self.known]
+        if missing and len(self.known) + len(missing) > REMEMBERED // 2:
+            self.known, self.older, missing = {}, self.known, words
+        known, older = self.known, self.older
         for word in missing:
-            ids = self.encode(word.decode("utf-8"))
-            known[word] = (struct.pack(f"<{len(ids)}I", *ids), self.decode(ids).encode("utf-8"))
+            found = older.get(word)
+            if found is None:
+                ids = self.encode(word.decode("utf-8"))
+                shown = self.decode(ids).encode("utf-8")
+                found = struct.pack(f"<{len(ids)}I", *ids), word if shown == word else shown
+            known[word] = found
         return [known[w] for w in words]
 
     def _pieces(self, texts: pa.Array, begin: bytes, end: bytes) -> tuple[pa.Array, pa.Array]:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from waybill.llm.labelled import training_sample
-from waybill.llm.tables import remembered, summed
+from waybill.llm.tables import remembered, small_batches, summed
 from waybill.llm.words import flat_bytes, row_chunks
 
 BUCKETS = 4096
@@ -174,4 +174,5 @@ def quality_model(docs: DataFrame, labels: DataFrame, learn_from: Column, bound:
     weighted by their frequencies in all documents."""
     sample = training_sample(docs, labels, "quality", learn_from, bound)
     seen = frequencies(docs)
-    return learn(sample, np.zeros(BUCKETS + SHAPES + 1, np.int64) if seen is None else seen)
+    with small_batches(docs.sparkSession):
+        return learn(sample, np.zeros(BUCKETS + SHAPES + 1, np.int64) if seen is None else seen)

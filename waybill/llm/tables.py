@@ -21,13 +21,19 @@ BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Jobs started within hand Python few rows at a time, so that batches of texts take little memory on either side."""
     before = spark.conf.get(BATCH_ROWS)
-    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    use_small_batches(spark, rows)
     try:
         yield
     finally:
         spark.conf.set(BATCH_ROWS, before)
 
 
+def use_small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """The same for all jobs from now on, for a frame whose reader starts the job."""
+    before = int(spark.conf.get(BATCH_ROWS))
+    spark.conf.set(BATCH_ROWS, str(min(rows, before) if before > 0 else rows))
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
@@ -79,7 +85,8 @@ def summed(parts: DataFrame, dtype, join=np.add) -> np.ndarray | None:
             return bytes(a or b)
         return join(np.frombuffer(a, dtype), np.frombuffer(b, dtype)).tobytes()
 
-    total = parts.rdd.map(lambda row: bytes(row[0])).treeAggregate(b"", merge, merge, depth=4)
+    with small_batches(parts.sparkSession):
+        total = parts.rdd.map(lambda row: bytes(row[0])).treeAggregate(b"", merge, merge, depth=4)
     return np.frombuffer(total, dtype) if total else None
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from waybill.llm.labelled import logistic, training_sample
-from waybill.llm.tables import forget, keep, remembered
+from waybill.llm.tables import forget, keep, remembered, small_batches
 from waybill.llm.words import row_chunks
 
 # fixed values: letters of other scripts that look like Latin ones, signs and digits used for letters
@@ -279,4 +279,6 @@ def scored(docs: DataFrame, lexicon: Lexicon, name: str = "score") -> DataFrame:
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, learn_from: Column, bound: int = 20_000) -> Lexicon:
     """A lexicon learned from about ``bound`` labelled documents at most."""
-    return learn(training_sample(docs, labels, "toxic", learn_from, bound))
+    sample = training_sample(docs, labels, "toxic", learn_from, bound)
+    with small_batches(docs.sparkSession):
+        return learn(sample)
