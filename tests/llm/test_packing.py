@@ -72,6 +72,31 @@ def test_ids_of_any_text(library):
             assert np.frombuffer(ids, "<u4").tolist() == ids_of(library, text)[:-1], text
 
 
+def test_parts_reach_the_library_joined(library, monkeypatch):
+    """A call for each part made the operator miss its CPU budget."""
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, []
+
+        def __getattr__(self, name):
+            def call(texts, **options):
+                self.texts += texts
+                return getattr(self.tokenizer, name)(texts, **options)
+
+            return call
+
+    rnd = random.Random(10)
+    parts = [f"{rnd.choice(['wörd', 'a', '漢字', '<|endoftext|>', 'it\'s', '́e', 'É.'])}{i}" for i in range(3000)]
+    for joined, most in ((1 << 13, 12), (64, 1500), (1, 3002)):
+        monkeypatch.setattr(packing, "JOINED", joined, raising=False)
+        encoder = packing.Encoder(open(PATH, encoding="utf-8").read())
+        encoder.tokenizer = counting = Counting(encoder.tokenizer)
+        for text in (" ".join(parts), "\n".join(parts[::-1]) + "\r\n" + "y" * 20_000 + "\n\nz"):
+            (got,) = encoder.encode(pa.array([text]))
+            assert np.frombuffer(got, "<u4").tolist() == ids_of(library, text)[:-1]
+        assert len(counting.texts) <= most
+
+
 def test_remembered_parts_age(library, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 5)
     monkeypatch.setattr(packing, "SLICE", 8)

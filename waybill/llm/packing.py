@@ -13,7 +13,9 @@ happens whenever ``open_windows`` are open, so memory is bounded by that many wi
 one document, whatever the task's size.
 
 Texts are cut at ASCII white space, across which the tokenizer merges and composes nothing; each
-part is encoded once by the library and remembered, up to a fixed number of parts.
+part is encoded once by the library and remembered, up to a fixed number of parts. The library gets
+many new parts as one text, a special token between them, as a call and a result for each part would
+cost more than its encoding.
 
 Defined cases: a null or empty text has the end id only. Rows are packed one by one: repeated rows and ids
 are packed as often as they occur, a null id stays null. An empty table gives no pieces. Other
@@ -39,6 +41,8 @@ OPEN_WINDOWS = 2048
 REMEMBERED = 2_000_000  # parts, of some 40 bytes each
 ROWS_OUT = 2048
 SLICE = 1 << 20  # bytes of text encoded at a time, about
+JOINED = 1 << 13  # bytes of parts in one call of the library, or one longer part
+BETWEEN = "\n"  # in no part; as a special token it keeps parts in one call apart
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
@@ -62,9 +66,11 @@ class Encoder:
     """
 
     def __init__(self, tokenizer: str):
-        from tokenizers import Tokenizer
+        from tokenizers import AddedToken, Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.tokenizer.add_special_tokens([AddedToken(BETWEEN, normalized=False)])
+        self.between = self.tokenizer.token_to_id(BETWEEN)
         self._forget()
 
     def _forget(self) -> None:
@@ -72,18 +78,35 @@ class Encoder:
         self.begins, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _encoded(self, parts: list[bytes]) -> list[np.ndarray]:
-        texts = [p.decode("utf-8", "replace") for p in parts]
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, hashes: np.ndarray, parts: list[bytes]) -> None:
-        found = self._encoded(parts)
-        sizes = np.array([len(f) for f in found], np.int64)
+    def _encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts one after the other, and how many each has."""
+        lengths = ends - starts + 1
+        after = np.cumsum(lengths)
+        found, low = [], 0
+        while low < len(starts):
+            done = int(after[low] - lengths[low])
+            high = max(low + 1, int(np.searchsorted(after, done + JOINED, "right")))
+            shift = np.repeat(starts[low:high] - after[low:high] + lengths[low:high] + done, lengths[low:high])
+            # a part's last place is BETWEEN, which stands for the byte after the part
+            joined = data[np.minimum(shift + np.arange(len(shift)), len(data) - 1)]
+            joined[after[low:high] - done - 1] = ord(BETWEEN)
+            text = joined.tobytes().decode("utf-8", "replace")
+            # one text a call: several would be dealt over threads, which cost CPU beside the other tasks
+            (encoding,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            found.append(np.array(encoding.ids, np.uint32))
+            low = high
+        ids = np.concatenate(found)
+        cuts = np.flatnonzero(ids == self.between)
+        return ids[ids != self.between], np.diff(cuts, prepend=-1) - 1
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """``hashes`` are in order and not known yet."""
+        ids, sizes = self._encoded(data, starts, ends)
         at = np.searchsorted(self.hashes, hashes)
         self.hashes = np.insert(self.hashes, at, hashes)
         self.begins = np.insert(self.begins, at, len(self.ids) + np.cumsum(sizes) - sizes)
         self.sizes = np.insert(self.sizes, at, sizes)
-        self.ids = np.concatenate([self.ids, *found])
+        self.ids = np.concatenate([self.ids, ids])
 
     def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.hashes, hashes)
@@ -108,7 +131,7 @@ class Encoder:
             known[:] = False
         if not known.all():
             new = example[~known]
-            self._learn(distinct[~known], [data[a:b].tobytes() for a, b in zip(starts[new], ends[new])])
+            self._learn(distinct[~known], data, starts[new], ends[new])
             at, _ = self._places(distinct)
         sizes = self.sizes[at][which]
         before = np.concatenate([[0], np.cumsum(sizes)])
