@@ -21,6 +21,19 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def same_batch_rows(request):
+    """Stages of the pipeline called one by one leave the session with small batches; the next test has the session's own."""
+    if "spark" not in request.fixturenames:
+        yield
+        return
+    session = request.getfixturevalue("spark")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = session.conf.get(name)
+    yield
+    session.conf.set(name, before)
+
+
 @pytest.fixture
 def at():
     """Seconds after a fixed moment, as an aware datetime."""
